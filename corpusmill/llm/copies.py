@@ -97,23 +97,20 @@ def count_copies(df: DataFrame, id_col: str, url_col: str, bucket_rows: int = BU
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own, trie, ends, hot = None, Trie(), {}, False
+        names = ["id", "first_id", "copies", "hot_form"]
 
-        def close() -> pd.DataFrame:
-            rows = [(i, node[2], node[1], form if hot else None) for form, node in ends.items() for i in node[3]]
-            return pd.DataFrame(rows, columns=["id", "first_id", "copies", "hot_form"])
+        def close() -> list[tuple]:
+            return [(i, node[2], node[1], form if hot else None) for form, node in ends.items() for i in node[3]]
 
         for b in batches:
-            out = []
+            out: list[tuple] = []
             for key, form, bucket, h, s in zip(b["id"].tolist(), b["form"], b["bucket"], b["hot"].tolist(), b["salt"].tolist()):
                 if (bucket, s) != own:
-                    if ends:
-                        out.append(close())
+                    out += close()
                     own, trie, ends, hot = (bucket, s), Trie(), {}, h
                 ends[form] = trie.add(form, key)
-            if out:
-                yield pd.concat(out)
-        if ends:
-            yield close()
+            yield pd.DataFrame(out, columns=names)
+        yield pd.DataFrame(close(), columns=names)
 
     members = placed.mapInPandas(count, "id long, first_id long, copies long, hot_form string")
     hot = parted.filter("hot").select("form").limit(1)

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.llm.boilerplate import boilerplate_lines, main_text
 from corpusmill.llm.copies import count_copies
+from corpusmill.llm.pages import PageReader, build_tree, page_columns
+from corpusmill.llm.reading import BANDS, reading_bands
 from corpusmill.llm.repeated import remove_repeated, repeated_occurrences
+from corpusmill.llm.residue import residue_pages, training_sample, validate_unseen, without_residue
 from corpusmill.llm.splitting import LIMIT, column_ranges, piece_plan, split_oversized
 from corpusmill.tables import table
 
@@ -39,6 +43,41 @@ def p4_addresses(spark: SparkSession, d: str) -> DataFrame:
     return count_copies(links, "link_id", "url").filter("link_id = first_id").join(links, "link_id").select("link_id", "url", F.col("copies").alias("n_copies"))
 
 
+def _pages(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "documents", "doc_id", "source", "title", "text")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return residue_pages(_pages(spark, d))
+
+
+def p6_corpus(spark: SparkSession, d: str) -> DataFrame:
+    """The corpus without the residue pages."""
+    return without_residue(_pages(spark, d))
+
+
+def p6_unseen_sources(spark: SparkSession, d: str) -> DataFrame:
+    """How the classifier does on sources that it was not trained on."""
+    docs = page_columns(_pages(spark, d))
+    return spark.createDataFrame(validate_unseen(training_sample(docs, PageReader(build_tree(docs)))))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return boilerplate_lines(_pages(spark, d))
+
+
+def p7_articles(spark: SparkSession, d: str) -> DataFrame:
+    return main_text(_pages(spark, d))
+
+
+def p10_bands(spark: SparkSession, d: str) -> DataFrame:
+    return reading_bands(_pages(spark, d), table(spark, d, "reading_labels"))
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return p10_bands(spark, d).filter(f"band = {BANDS}").select("doc_id")
+
+
 QUERIES = {k: f for k, f in list(globals().items()) if k.startswith("p") and k[1].isdigit()}
 
 _LINES = r"""
