@@ -210,9 +210,12 @@ class Reading:
     chrome: list[bool]
 
     named: bool  # the title was found by its mark or by the title column
+    after: list[int]  # places of labelled lines that follow the article
 
-    def article(self) -> list[Line]:
-        return [x for x, c in zip(self.lines, self.chrome) if not c]
+    def outside(self) -> list[int]:
+        """Line numbers outside the article of a page that has one."""
+        after = set(self.after)
+        return [x.no for i, (x, c) in enumerate(zip(self.lines, self.chrome)) if c or i in after]
 
 
 class Tree:
@@ -252,7 +255,7 @@ class Tree:
             if hit is not None:
                 chrome[i], leads[i] = x.kind != LIST, bool(hit)
         at = title_place(lines, title)
-        named = at is not None
+        named, after = at is not None, []
         if at is None:  # the first line that is neither unimportant nor a menu, breadcrumb or list entry
             at = next((i for i, x in enumerate(lines) if not chrome[i] and x.kind not in (MENU, CRUMB, LIST, ARROW)), None)
         if at is not None:
@@ -263,7 +266,9 @@ class Tree:
             for i in range(max(last, at) + 1, n):  # links to other pages that follow the article
                 if lines[i].kind == ARROW:
                     chrome[i] = True
-        return Reading(lines, at, chrome, named)
+                elif not chrome[i] and lines[i].kind == PLAIN and _LABEL.match(lines[i].content):
+                    after.append(i)
+        return Reading(lines, at, chrome, named, after)
 
     @staticmethod
     def _boxes(lines: list[Line], chrome: list[bool], leads: list[bool], at: int) -> None:

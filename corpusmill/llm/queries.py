@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.llm.boilerplate import boilerplate_lines, main_text
 from corpusmill.llm.copies import count_copies
+from corpusmill.llm.leaks import WORDS, find_leaks
 from corpusmill.llm.pages import PageReader, build_tree, page_columns
 from corpusmill.llm.reading import BANDS, reading_bands
 from corpusmill.llm.repeated import remove_repeated, repeated_occurrences
@@ -70,6 +71,25 @@ def p7_articles(spark: SparkSession, d: str) -> DataFrame:
     return main_text(_pages(spark, d))
 
 
+EVAL_FIELDS = ["question", "ideal_answer", "quote"]
+
+
+def p8_leaks(spark: SparkSession, d: str) -> DataFrame:
+    """Per document, item and field the best passage: also such with a word changed, left out or put in."""
+    return find_leaks(table(spark, d, "documents", "doc_id", "text"), table(spark, d, "eval_items"), "doc_id", "text", "item_id", EVAL_FIELDS)
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    # the exact check: a passage as it stands in the item
+    return p8_leaks(spark, d).filter((F.col("edits") == 0) & (F.col("run") >= WORDS)).select("doc_id", "item_id").distinct()
+
+
+def p8_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items that leaked, with the number of documents that hold them exactly or nearly."""
+    leaks = p8_leaks(spark, d).groupBy("item_id", "doc_id").agg(F.min("edits").alias("edits"))
+    return leaks.groupBy("item_id").agg(F.count_if(F.col("edits") == 0).alias("n_exact"), F.count_if(F.col("edits") > 0).alias("n_near"))
+
+
 def p10_bands(spark: SparkSession, d: str) -> DataFrame:
     return reading_bands(_pages(spark, d), table(spark, d, "reading_labels"))
 
@@ -101,7 +121,16 @@ forms AS (
 members AS (SELECT link_id, url, min(link_id) OVER (PARTITION BY form) AS first_id, count(*) OVER (PARTITION BY form) AS n FROM forms)
 """
 
+_P8 = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents),
+dw AS (SELECT DISTINCT doc_id, array_to_string(w[i:i+11], ' ') AS p FROM (SELECT doc_id, w, unnest(range(1, len(w) - 10)) AS i FROM w)),
+f AS (SELECT item_id, question AS t FROM eval_items UNION ALL SELECT item_id, ideal_answer FROM eval_items UNION ALL SELECT item_id, quote FROM eval_items),
+iw AS (SELECT item_id, regexp_extract_all(lower(t), '[\p{L}\p{N}]+') AS w FROM f WHERE t IS NOT NULL),
+ip AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS p FROM (SELECT item_id, w, unnest(range(1, len(w) - 10)) AS i FROM iw))
+"""
+
 ORACLES = {
+    "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN ip USING (p)",
     "p2_found": "SELECT doc_id FROM documents WHERE length(text) > 6000",
     "p3_found": _LINES + "SELECT doc_id, line_no FROM lines JOIN bad ON lines.source IS NOT DISTINCT FROM bad.source AND lines.line = bad.line",
     "p3_documents": _LINES
