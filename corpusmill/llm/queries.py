@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.boilerplate import boilerplate_lines, main_text
 from corpusmill.llm.copies import count_copies
 from corpusmill.llm.leaks import WORDS, find_leaks
+from corpusmill.llm.mixing import mix_sources, public_tokenizer
 from corpusmill.llm.pages import PageReader, build_tree, page_columns
 from corpusmill.llm.reading import BANDS, reading_bands
 from corpusmill.llm.repeated import remove_repeated, repeated_occurrences
@@ -90,6 +91,18 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leaks.groupBy("item_id").agg(F.count_if(F.col("edits") == 0).alias("n_exact"), F.count_if(F.col("edits") > 0).alias("n_near"))
 
 
+def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return mix_sources(table(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"), "doc_id", "text", "source", public_tokenizer())
+
+
+def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixture(spark, d)[1]
+
+
 def p10_bands(spark: SparkSession, d: str) -> DataFrame:
     return reading_bands(_pages(spark, d), table(spark, d, "reading_labels"))
 
