@@ -25,3 +25,24 @@ def build_session(app: str = "corpusmill", master: str | None = None, **extra: s
     if master:
         builder = builder.master(master)
     return builder.config(map=SETTINGS | extra).getOrCreate()
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Hand the package to the executors, once an application: Python stages import it there."""
+    import tempfile
+    import zipfile
+    from pathlib import Path
+
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="corpusmill-")) / "corpusmill_package.zip"  # read by the driver only, which serves it
+    with zipfile.ZipFile(path, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, p.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(path))
+    _shipped.add(app)
