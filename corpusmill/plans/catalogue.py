@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import problems
+from corpusmill.plans import link_queries, problems
 
-MODULES = [problems]
+MODULES = [link_queries, problems]
 FLAGSHIP = "p5_counts"
 
 
