@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -168,11 +170,19 @@ def words(c: Column) -> Column:
     return F.filter(F.split(F.regexp_replace(F.lower(c), r"[^a-z0-9\s]", " "), r"\s+"), lambda w: w != "")
 
 
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, also where `use` puts it into a lambda."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def ngrams(c: Column, n: int) -> Column:
     """Sliding n-grams of the words, joined by a blank; an empty list if there are fewer words."""
-    w = words(c)
-    grams = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
-    return F.when(F.size(w) >= n, grams).otherwise(F.array().cast("array<string>"))
+
+    def grams(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(1), F.size(w) - n + 1), lambda i: F.array_join(F.slice(w, i, n), " "))
+        return F.when(F.size(w) >= n, each).otherwise(F.array().cast("array<string>"))
+
+    return once(words(c), grams)
 
 
 def overlap(found: Column, wanted: Column) -> Column:

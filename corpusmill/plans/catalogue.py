@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import link_queries, problems
+from corpusmill.plans import chunk_queries, link_queries, log_queries, problems, text_queries
 
-MODULES = [link_queries, problems]
-FLAGSHIP = "p5_counts"
+MODULES = [link_queries, log_queries, text_queries, chunk_queries, problems]
+FLAGSHIP = "chunk_full"
 
 
 def queries() -> dict:
