@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.storage import written
 
 #: Leading bytes looked at, level by level; after the last the whole form counts.
@@ -109,8 +110,8 @@ def count_copies(df: DataFrame, id_col: str, url_col: str, bucket_rows: int = BU
                     out += close()
                     own, trie, ends, hot = (bucket, s), Trie(), {}, h
                 ends[form] = trie.add(form, key)
-            yield pd.DataFrame(out, columns=names)
-        yield pd.DataFrame(close(), columns=names)
+            yield frame(out, names)
+        yield frame(close(), names)
 
     members = placed.mapInPandas(count, "id long, first_id long, copies long, hot_form string")
     hot = parted.filter("hot").select("form").limit(1)

@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.tables import spread
 
 WORDS = 12
@@ -157,7 +158,7 @@ def find_leaks(df: DataFrame, items: DataFrame, id_col: str, text_col: str, item
         def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 out = [(doc, item, name, e, run) for doc, text in zip(b["doc"].tolist(), b["text"]) if text for (item, name), (e, run) in held.value.search(text).items()]
-                yield pd.DataFrame(out, columns=[id_col, item_col, "field_name", "edits", "run"])
+                yield frame(out, [id_col, item_col, "field_name", "edits", "run"])
 
         return docs.mapInPandas(search, schema)
 

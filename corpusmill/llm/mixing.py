@@ -21,12 +21,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.storage import written
 from corpusmill.tables import spread
 
 #: Posteriors: at most about so many labelled documents train, on so many hashed words.
 TRAIN_DOCUMENTS = 20_000
 BUCKETS = 1 << 15
+SMOOTHING = 0.1
 #: Domains fitted at once: the targets' table, its gradients and posteriors are held by every task.
 MOST_DOMAINS = 10_000
 PASSES, CLOSE = 25, 1e-7
@@ -80,6 +82,13 @@ class TokenCounter:
         return total
 
 
+class WordCounter:
+    """Counts blank-separated words: for sizes in words instead of tokens."""
+
+    def count(self, text: str) -> int:
+        return len(text.split())
+
+
 def public_tokenizer(name: str = "byte_bpe_50k.tiktoken", folder: str | None = None) -> TokenCounter:
     """The counter for a vocabulary file in the folder of public tokenizers (by default where its package lies)."""
     import os
@@ -99,9 +108,9 @@ class DomainClassifier:
 
     def __init__(self, domains: list[str], docs: np.ndarray, uses: np.ndarray) -> None:
         self.domains = domains
-        rate = (uses + 0.5) / (docs[:, None] + 1.0)
-        self.logs = np.log(rate / (1 - rate)).astype(np.float32)
-        self.base = np.log((docs + 1.0) / (docs.sum() + len(docs))) + np.log1p(-rate).sum(axis=1)
+        seen = max(1, int((uses.sum(axis=0) > 0).sum()))
+        self.logs = np.log((uses + SMOOTHING) / (uses.sum(axis=1, keepdims=True) + SMOOTHING * seen)).astype(np.float32)
+        self.base = np.log((docs + 1.0) / (docs.sum() + len(docs)))
 
     def posteriors(self, text: str) -> np.ndarray:
         z = self.base + self.logs[:, _word_buckets(text)].sum(axis=1)
@@ -122,7 +131,7 @@ def train_domains(labelled: DataFrame, domains: list[str], most: int = TRAIN_DOC
                 k = at[source]
                 uses[k, -1] += 1
                 uses.update((k, x) for x in (_word_buckets(text).tolist() if text else ()))
-        yield pd.DataFrame([(k, x, n) for (k, x), n in uses.items()], columns=["domain", "bucket", "n"])
+        yield frame([(k, x, n) for (k, x), n in uses.items()], ["domain", "bucket", "n"])
 
     rows = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInPandas(count, "domain int, bucket int, n long")
     table = rows.groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
@@ -136,7 +145,7 @@ def train_domains(labelled: DataFrame, domains: list[str], most: int = TRAIN_DOC
     return DomainClassifier([domains[i] for i in held], docs[held], uses[held]) if held else None
 
 
-def memberships(docs: DataFrame, domains: list[str], tokenizer: TokenCounter) -> DataFrame:
+def memberships(docs: DataFrame, domains: list[str], tokenizer: TokenCounter | WordCounter) -> DataFrame:
     """(doc_id, source, tokens, domain, weight): arrays of the domains (by number) that the document belongs to; written.
 
     A known source outside the targets belongs to no domain. Posteriors below 0.001 are left out.
@@ -159,7 +168,7 @@ def memberships(docs: DataFrame, domains: list[str], tokenizer: TokenCounter) ->
                     kept = np.flatnonzero(p >= 0.001)
                     own, weight = [at[model.value.domains[i]] for i in kept], (p[kept] / p[kept].sum()).tolist()
                 rows.append((doc, source if isinstance(source, str) else None, counter.value.count(text) if text else 0, own, weight))
-            yield pd.DataFrame(rows, columns=["doc_id", "source", "tokens", "domain", "weight"])
+            yield frame(rows, ["doc_id", "source", "tokens", "domain", "weight"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return written(spread(docs).mapInPandas(member, f"doc_id {kind}, source string, tokens long, domain array<int>, weight array<double>"), "memberships")
@@ -198,7 +207,7 @@ def fit_rates(members: DataFrame, targets: np.ndarray, caps: np.ndarray, sizes:
                 of, dom, w, t = _matrix(b)
                 rate = replay(len(b), of, dom, w, caps, steps)
                 total += np.bincount(dom, w * (rate * t)[of], k)
-            yield pd.DataFrame({"domain": np.arange(k), "tokens": total})
+            yield frame({"domain": np.arange(k), "tokens": total})
 
         rows = members.select("tokens", "domain", "weight").mapInPandas(tokens, "domain int, tokens double").groupBy("domain").agg(F.sum("tokens").alias("tokens")).collect()
         for r in rows:
@@ -273,7 +282,7 @@ def whole_repeats(rated: DataFrame) -> DataFrame:
     return placed.select("doc_id", "source", "tokens", "main", (F.floor("rate") + extra).cast("int").alias("repeats"))
 
 
-def mix_sources(df: DataFrame, targets: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer: TokenCounter, total_tokens: float | None = None) -> tuple[DataFrame, DataFrame]:
+def mix_sources(df: DataFrame, targets: DataFrame, id_col: str, text_col: str, source_col: str, tokenizer: TokenCounter | WordCounter, total_tokens: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(id_col, source, tokens, repeats) of the documents drawn, and the shares: (source, target_share, max_repeats, n_docs, tokens, mixed_tokens, reached_share).
 
     targets: source, target_share, max_repeats; null or negative shares and repeats count as 0, of double sources the
@@ -311,7 +320,7 @@ def mix_sources(df: DataFrame, targets: DataFrame, id_col: str, text_col: str, s
         for b in batches:
             of, dom, w, _ = _matrix(b)
             main = [int(d[int(np.argmax(x))]) if len(d) else -1 for d, x in zip(b["domain"], b["weight"])]
-            yield pd.DataFrame({"doc_id": b["doc_id"], "source": b["source"], "tokens": b["tokens"], "main": main, "rate": replay(len(b), of, dom, w, caps, steps)})
+            yield frame({"doc_id": b["doc_id"], "source": b["source"], "tokens": b["tokens"], "main": main, "rate": replay(len(b), of, dom, w, caps, steps)})
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     rated = members.filter("tokens > 0").mapInPandas(rates, f"doc_id {kind}, source string, tokens long, main int, rate double").filter("rate > 0")

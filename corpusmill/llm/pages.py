@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.storage import written
 from corpusmill.tables import spread
 
@@ -50,6 +51,8 @@ LONG = 100
 #: Partitions with at least so many pages of a source forget nodes seen on fewer than FORGET of them (lossy counting).
 FORGET = 0.004
 BROADCAST_NODES = 400_000
+#: Nodes of a source in one partition before the rare ones are forgotten.
+NODES = 200_000
 
 
 def node_hash(key: str) -> int:
@@ -159,8 +162,10 @@ def merge_pages(docs: DataFrame) -> DataFrame:
     """(source, node, counters): the merged tree of each source; node null: its pages. docs: doc_id, source, title, text."""
 
     def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Lossy counting, as for repeated lines: the last number of a node is what its source had forgotten when it came in.
         seen: Counter = Counter()
         trees: dict[str | None, dict[int, list[int]]] = defaultdict(dict)
+        forgot: Counter = Counter()
         for b in batches:
             for source, title, text in zip(b["source"], b["title"], b["text"]):
                 source = source if isinstance(source, str) else None
@@ -168,16 +173,20 @@ def merge_pages(docs: DataFrame) -> DataFrame:
                 tree = trees[source]
                 for k, row in page_nodes(read_page(text), title if isinstance(title, str) else None).items() if text else ():
                     if (old := tree.get(k)) is None:
-                        tree[k] = list(map(int, row))
+                        tree[k] = [*map(int, row), forgot[source]]
                     else:
                         for j, v in enumerate(row):
                             if v:
                                 old[j] += 1
+            for s, tree in trees.items():
+                if len(tree) > NODES:
+                    forgot[s] = int(FORGET * seen[s])
+                    trees[s] = {k: row for k, row in tree.items() if row[0] + row[-1] > forgot[s]}
         rows = [(s, None, n, 0, 0, 0, 0, 0, 0) for s, n in seen.items()]
         for s, tree in trees.items():
             cut = FORGET * seen[s]
-            rows += [(s, k, *row) for k, row in tree.items() if row[0] >= cut and (row[0] > 1 or seen[s] < 100)]
-        out = pd.DataFrame(rows, columns=["source", "node", *STATS])
+            rows += [(s, k, *row[:-1]) for k, row in tree.items() if row[0] + row[-1] >= cut and (row[0] > 1 or seen[s] < 100)]
+        out = frame(rows, ["source", "node", *STATS])
         out["node"] = pd.array([r[1] for r in rows], dtype="Int64")
         yield out
 

@@ -61,7 +61,7 @@ def p6_corpus(spark: SparkSession, d: str) -> DataFrame:
 def p6_unseen_sources(spark: SparkSession, d: str) -> DataFrame:
     """How the classifier does on sources that it was not trained on."""
     docs = page_columns(_pages(spark, d))
-    return spark.createDataFrame(validate_unseen(training_sample(docs, PageReader(build_tree(docs)))))
+    return spark.createDataFrame(validate_unseen(training_sample(docs, PageReader(build_tree(docs)))), "fold int, n_units int, hits int, misses int, false_alarms int")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.storage import written
 from corpusmill.tables import spread
 
@@ -71,7 +72,7 @@ def line_summaries(docs: DataFrame, drop: float = DROP) -> DataFrame:
         for source, c in counts.items():
             cut, known = drop * seen[source], short[source]
             rows += [(source, line_hash(k), n) for k, n in c.items() if n + known.get(k, base[source]) >= cut and has_letter(k)]
-        yield pd.DataFrame({"source": pd.Series([r[0] for r in rows], dtype=object), "line": pd.array([r[1] for r in rows], dtype="Int64"), "n": [r[2] for r in rows]})
+        yield frame({"source": pd.Series([r[0] for r in rows], dtype=object), "line": pd.array([r[1] for r in rows], dtype="Int64"), "n": [r[2] for r in rows]})
 
     return docs.mapInPandas(summarise, "source string, line long, n long").groupBy("source", "line").agg(F.sum("n").alias("n"))
 
@@ -120,7 +121,7 @@ def repeated_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, dr
                             hashes[k] = h
                     if h in lines:
                         found[source, h] += 1
-        yield pd.DataFrame({"source": pd.Series([s for s, _ in found], dtype=object), "line": [h for _, h in found], "n": list(found.values())}).astype({"line": "int64", "n": "int64"})
+        yield frame({"source": pd.Series([s for s, _ in found], dtype=object), "line": [h for _, h in found], "n": list(found.values())}).astype({"line": "int64", "n": "int64"})
 
     exact = _lookup(docs, candidates, candidates.count(), limit, count, "source string, line long, n long").groupBy("source", "line").agg(F.sum("n").alias("n"))
     exact = exact.join(candidates.withColumnsRenamed({"source": "s2", "line": "l2"}), F.col("source").eqNullSafe(F.col("s2")) & (F.col("line") == F.col("l2")))
@@ -159,7 +160,7 @@ def repeated_occurrences(df: DataFrame, id_col: str, text_col: str, source_col:
                     if h in lines:
                         ids.append(doc)
                         nos.append(no)
-            yield pd.DataFrame({id_col: ids, "line_no": nos})
+            yield frame({id_col: ids, "line_no": nos})
 
     kind = df.schema[id_col].dataType.simpleString()
     return _lookup(docs, confirmed, confirmed.count(), how.get("limit", BROADCAST_LINES), places, f"{id_col} {kind}, line_no int")
@@ -183,7 +184,7 @@ def remove_repeated(df: DataFrame, id_col: str, text_col: str, source_col: str,
                 ids.append(doc)
                 texts.append(text)
                 removed.append(n)
-            yield pd.DataFrame({id_col: ids, text_col: texts, "n_removed": removed})
+            yield frame({id_col: ids, text_col: texts, "n_removed": removed})
 
     kind = df.schema[id_col].dataType.simpleString()
     return _lookup(docs, confirmed, confirmed.count(), how.get("limit", BROADCAST_LINES), strip, f"{id_col} {kind}, {text_col} string, n_removed int")

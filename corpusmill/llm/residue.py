@@ -21,6 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.llm.pages import PageReader, Reading, build_tree, page_columns
 
 # Weak labels. Phrases of errors, script demands, template marks and filler, in lower case.
@@ -28,7 +29,7 @@ PHRASES = """not found; no encontrad; introuvable; access denied; acceso denegad
 timed out; timeout; time out; service unavailable; server error; server failed; server got; something went wrong; salió mal; mal passé
 session has expired; session expired; error parsing; error 4; error 5; do not have permission; no longer available; oops
 could not be found; could not load; could not open; could not reach; cannot load; cannot open; cannot show; cannot find; unable to find; failed to show; failed to load; too many requests; client-side code
-javascript; java script; script; noscript; active content; contenido activo; contenu actif
+javascript; java script;  script; scripts; scripting; noscript; active content; contenido activo; contenu actif
 ${; {{; }}; [[; ]]; {%; %}; %%; @@; «; <page_; <first_; goes here; [insert; va aquí
 lorem; ipsum; coming soon; próximamente; bientôt disponible; text to follow; texto pendiente; texte à venir; placeholder; sample paragraph
 sample heading; xxxx; asdf; your text here; your content here; your answer here; escriba aquí; saisir ici; tbd"""
@@ -118,7 +119,9 @@ class Body:
 def body_of(page: Reading, title: str | None) -> Body:
     """The line taken as the title counts as one where it is marked or named as such, or where no name is known."""
     place = page.title if page.named or not title else None
-    kept = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if not c and i != place]
+    # on a small site the same message on several pages looks like chrome: below the title it counts all the same
+    low = -1 if page.title is None else page.title
+    kept = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if i != place and (not c or (i > low and names_residue(x.content)))]
     shown = page.lines[place].content if place is not None else None
     if not kept and shown is not None:
         kept, shown = [shown], None
@@ -195,7 +198,7 @@ def training_sample(docs: DataFrame, reader: PageReader, most: int = TRAIN_DOCUM
             body = body_of(page, title)
             if (y := weak_label(body)) is not None:
                 rows += [(source, y, f) for f in training_units(body, y)]
-        return pd.DataFrame(rows, columns=["source", "label", "features"])
+        return frame(rows, ["source", "label", "features"])
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
     return reader.map(sample, label, "source string, label int, features array<int>").toPandas()
@@ -224,7 +227,7 @@ def validate_unseen(sample: pd.DataFrame, folds: int = 4) -> pd.DataFrame:
         p = np.array([model.score(x[i]) > 0 for i in own])
         t = y[own] == 1
         out.append((k, len(own), int((p & t).sum()), int((~p & t).sum()), int((p & ~t).sum())))
-    return pd.DataFrame(out, columns=["fold", "n_units", "hits", "misses", "false_alarms"])
+    return frame(out, ["fold", "n_units", "hits", "misses", "false_alarms"])
 
 
 def learn(docs: DataFrame) -> tuple[PageReader, Any]:
@@ -244,7 +247,7 @@ def residue_pages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     reader, model = learn(docs)
 
     def judge(pages: Iterator) -> pd.DataFrame:
-        return pd.DataFrame({id_col: [doc for doc, _, title, _, page in pages if model.value.is_residue(body_of(page, title))]})
+        return frame({id_col: [doc for doc, _, title, _, page in pages if model.value.is_residue(body_of(page, title))]})
 
     return reader.map(docs, judge, f"{id_col} {df.schema[id_col].dataType.simpleString()}")
 

@@ -16,6 +16,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
+
 LIMIT = 6000
 OVERLAP = 300
 RANGE = 4096
@@ -130,7 +132,7 @@ def file_ranges(spark: SparkSession, paths: list[str], size: int = RANGE) -> Dat
                     stop -= 1
                 right = raw[z:stop].decode("utf-8", "replace")[:HALO]
                 rows.append((doc, no, len(body), len(left), left + body + right))
-            yield pd.DataFrame(rows, columns=["doc", "range_no", "n", "lead", "body"])
+            yield frame(rows, ["doc", "range_no", "n", "lead", "body"])
 
     read_rows = plan.mapInPandas(read, "doc string, range_no long, n long, lead long, body string")
     w = Window.partitionBy("doc")
@@ -150,7 +152,7 @@ def piece_plan(ranges: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bl
             rows = []
             for d, start, n, total, first, body in zip(b["doc"].tolist(), b["start"].tolist(), b["n"].tolist(), b["total"].tolist(), b["first"].tolist(), b["body"]):
                 offsets, levels = boundaries(body, first, start, start + n)
-                parts: dict[int, tuple[list[int], list[int]]] = {start // block: ([], [])}
+                parts: dict[int, tuple[list[int], list[int]]] = {k: ([], []) for k in range(start // block, max(start, start + n - 1) // block + 1)}
                 for o, v in zip(offsets, levels):
                     k = o // block
                     for own in (k, k - 1) if k and o - k * block <= limit else (k,):  # the last block's layout ends in the next one
@@ -158,7 +160,7 @@ def piece_plan(ranges: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bl
                         x[0].append(o)
                         x[1].append(v)
                 rows += [(d, k, total, start, o, v) for k, (o, v) in parts.items()]
-            yield pd.DataFrame(rows, columns=["doc", "block", "total", "start", "offsets", "levels"])
+            yield frame(rows, ["doc", "block", "total", "start", "offsets", "levels"])
 
     tables = ranges.select("doc", "start", "n", "total", "first", "body").mapInPandas(find, f"doc {doc}, block long, total long, start long, offsets array<long>, levels array<int>")
     stitched = tables.groupBy("doc", "block").agg(F.max("total").alias("total"), F.sort_array(F.collect_list(F.struct("start", "offsets", "levels"))).alias("t"))
@@ -166,7 +168,7 @@ def piece_plan(ranges: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bl
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = []
+            rows: list[tuple] = []
             for d, k, total, o, v in zip(b["doc"].tolist(), b["block"].tolist(), b["total"].tolist(), b["offsets"], b["levels"]):
                 o, v = list(o), list(v)
                 start = _anchor(o, v, k * block, limit) if k else 0
@@ -177,11 +179,15 @@ def piece_plan(ranges: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bl
                     i = bisect_left(o, start - overlap)
                     inside = [x for x in o[i:] if x < start]
                     start = inside[0] if inside and overlap else start - (overlap if not inside else 0)
-                rows += [(d, a, z) for a, z in layout(o, v, start, stop, limit, overlap)]
-            yield pd.DataFrame(rows, columns=["doc", "begin", "end"])
-
-    pieces = stitched.mapInPandas(place, f"doc {doc}, begin long, end long")
-    return pieces.withColumn("piece_no", F.row_number().over(Window.partitionBy("doc").orderBy("begin"))).select("doc", "piece_no", "begin", "end")
+                cut = layout(o, v, start, stop, limit, overlap)
+                rows.append((d, k, [a for a, _ in cut], [z for _, z in cut]))
+            yield frame(rows, ["doc", "block", "begins", "ends"])
+
+    # a row a block from here on: the numbers of a giant text's pieces are a prefix sum over its blocks
+    laid = stitched.mapInPandas(place, f"doc {doc}, block long, begins array<long>, ends array<long>")
+    before = F.sum(F.size("begins")).over(Window.partitionBy("doc").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    numbered = laid.withColumn("before", F.coalesce(before, F.lit(0))).select("doc", "before", F.posexplode(F.arrays_zip("begins", "ends")).alias("at", "x"))
+    return numbered.select("doc", (F.col("before") + F.col("at") + 1).cast("int").alias("piece_no"), F.col("x.begins").alias("begin"), F.col("x.ends").alias("end"))
 
 
 def emit_pieces(ranges: DataFrame, pieces: DataFrame, size: int = RANGE) -> DataFrame:
