@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.functions.text import clean_title
 
 # What is no content of a page.
@@ -207,7 +208,7 @@ def convert_pages(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             done = [html_to_markdown(h if isinstance(h, str) else "") for h in b[html_col]]
-            yield pd.DataFrame({id_col: b[id_col], "markdown": [m for m, _ in done], "title": [t for _, t in done]})
+            yield frame({id_col: b[id_col], "markdown": [m for m, _ in done], "title": [t for _, t in done]})
 
     return df.select(id_col, html_col).mapInPandas(convert, f"{id_col} {df.schema[id_col].dataType.simpleString()}, markdown string, title string")
 

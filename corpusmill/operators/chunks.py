@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
 from corpusmill.functions.text import strip
 
 HEADINGS = [f"header_{n}" for n in range(1, 7)]
@@ -30,7 +31,7 @@ def markdown_blocks(df: DataFrame, id_col: str, text_col: str, strict: bool = Tr
 
         for b in batches:
             rows = [(doc, i, block) for doc, text in zip(b[id_col].tolist(), b[text_col]) if text for i, block in enumerate(blocks_of(text, strict), 1)]
-            yield pd.DataFrame(rows, columns=[id_col, "pos", "block"])
+            yield frame(rows, [id_col, "pos", "block"])
 
     return df.select(id_col, text_col).mapInPandas(cut, f"{id_col} {df.schema[id_col].dataType.simpleString()}, pos int, block string")
 

@@ -19,6 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusmill.frames import frame
+
 SCHEME = r"[hH][tT][tT][pP][sS]?://"
 #: What can never be inside a link as it is written here.
 OUTSIDE = r"\s​  ﻿<>\"'\[\]()|\\`{}•“”«»"
@@ -188,7 +190,7 @@ def value_codes(fields: DataFrame, model: dict[str, float] | None) -> dict[str,
                         known[sk] = got
                 for t, n in got:
                     total[t] += n
-        yield pd.DataFrame({"token": list(total), "n": [float(x) for x in total.values()]}, columns=["token", "n"])
+        yield frame({"token": list(total), "n": [float(x) for x in total.values()]}, ["token", "n"])
 
     rows = fields.select("field").mapInPandas(count, "token string, n double").groupBy("token").agg(F.sum("n").alias("n"))
     return {r["token"]: r["n"] for r in rows.collect()}
@@ -219,6 +221,6 @@ def split_packed_links(df: DataFrame, id_col: str, columns: list[str]) -> DataFr
                         known[sk] = dw
                 links = [x for v in parse(field, *dw)[0] for x in links_of(v)]
                 out += [(key, name, i, x, "/".join(dw)) for i, x in enumerate(links, 1)]
-            yield pd.DataFrame(out, columns=[id_col, "field_name", "pos", "link", "dialect"])
+            yield frame(out, [id_col, "field_name", "pos", "link", "dialect"])
 
     return fields.mapInPandas(split, f"{id_col} {fields.schema[id_col].dataType.simpleString()}, field_name string, pos int, link string, dialect string")

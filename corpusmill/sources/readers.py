@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from corpusmill.frames import frame
+
 INDEX_COLUMNS = ["Section", "Subsection", "Title", "URL", "Role"]
 LOG_SCHEMA = "timestamp timestamp, stage string, status string, url string, filepath string, reason string, message string"
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header_line: int = 1, keep_empty: bool = False) -> DataFrame:
     """A CSV with a stated schema. `header_line` 2: the line before the header is skipped. `keep_empty`: '' instead of null."""
-    kind = schema if isinstance(schema, str) else schema.simpleString()
     options = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
     if header_line == 1:
         df = spark.read.schema(schema).options(**options).csv(path)
@@ -23,7 +24,6 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, header_li
         # a second line as header: names come from the schema, the first lines of each file are dropped by content-free position
         df = spark.read.schema(schema).options(**options | {"header": "false"}).csv(path)
         df = df.withColumn("_n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).filter(F.col("_n") >= header_line).drop("_n")  # a multi-line CSV is one partition a file
-    del kind
     return df.na.fill("") if keep_empty else df
 
 
@@ -46,8 +46,8 @@ def scrub_json(c):
 
 def read_documents(spark: SparkSession, *folders: str) -> DataFrame:
     """(filepath, text) of whole text files; unreadable ones are skipped."""
-    reader = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("ignoreCorruptFiles", "true")
-    return reader.text(list(folders)).select(F.col("_metadata.file_path").alias("filepath"), F.col("value").alias("text"))
+    found = spark.read.option("ignoreCorruptFiles", "true").text(list(folders), wholetext=True, recursiveFileLookup=True)
+    return found.select(F.col("_metadata.file_path").alias("filepath"), F.col("value").alias("text"))
 
 
 def list_files(spark: SparkSession, folder: str, ignored: str | None = None) -> DataFrame:
@@ -83,7 +83,7 @@ def read_paged(spark: SparkSession, fetch: Callable[[int], dict | None], keep: t
                 if not page:
                     return
                 rows = [[item.get(k) for k in keep] for item in page.get("results", []) if all(item.get(k) for k in keep)]
-                yield pd.DataFrame([[str(x) for x in r] for r in rows], columns=list(keep))
+                yield frame([[str(x) for x in r] for r in rows], list(keep))
                 if not page.get("morerecords"):
                     return
 
