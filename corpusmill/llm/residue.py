@@ -32,7 +32,7 @@ could not be found; could not load; could not open; could not reach; cannot load
 javascript; java script;  script; scripts; scripting; noscript; active content; contenido activo; contenu actif
 ${; {{; }}; [[; ]]; {%; %}; %%; @@; «; <page_; <first_; goes here; [insert; va aquí
 lorem; ipsum; coming soon; próximamente; bientôt disponible; text to follow; texto pendiente; texte à venir; placeholder; sample paragraph
-sample heading; xxxx; asdf; your text here; your content here; your answer here; escriba aquí; saisir ici; tbd"""
+sample heading; short description; caption here; xxxx; asdf; your text here; your content here; your answer here; escriba aquí; saisir ici; tbd"""
 STATUS = re.compile(r"\W*(?:error\s*)?[45]\d\d\b(?=\W|$)")
 # End of fixed values.
 
