@@ -165,3 +165,40 @@ def word_windows(df: DataFrame, id_col: str, text_col: str, size: int, overlap:
     count = F.when(n > size, F.ceil((n - size) / step) + 1).otherwise(F.when(n > 0, 1).otherwise(0)).cast("int")
     starts = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(F.array().cast("array<int>"))
     return df.select(id_col, w.alias("w")).select(id_col, "w", F.explode(starts).alias("at")).select(id_col, (F.col("at") + 1).alias("pos"), F.array_join(F.slice("w", F.col("at") * step + 1, size), " ").alias("chunk"))
+
+
+def budget_pieces(df: DataFrame, id_col: str, text_col: str, most: int, count=None) -> DataFrame:
+    """(id_col, pos, piece): words gathered until the next would take a piece over `most` tokens by `count(words)`; by default a word is a token.
+
+    A word that alone exceeds the budget is a piece of its own.
+    """
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for doc, text in zip(b[id_col].tolist(), b[text_col]):
+                held, used, pos = [], 0, 0
+                for w in (text or "").split():
+                    n = count(w) if count else 1
+                    if held and used + n > most:
+                        pos += 1
+                        rows.append((doc, pos, " ".join(held)))
+                        held, used = [], 0
+                    held.append(w)
+                    used += n
+                if held:
+                    rows.append((doc, pos + 1, " ".join(held)))
+            yield frame(rows, [id_col, "pos", "piece"])
+
+    return df.select(id_col, text_col).mapInPandas(cut, f"{id_col} {df.schema[id_col].dataType.simpleString()}, pos int, piece string")
+
+
+def semantic_groups(nodes: DataFrame, vector: str, percentile: float, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
+    """`group_no` per document: a new group begins where a node is farther from the one before than the document's percentile of such distances."""
+    from corpusmill.operators.vectors import cosine
+
+    w = by_document(doc, pos)
+    far = nodes.withColumn("_d", 1 - cosine(F.col(vector), F.lag(vector).over(w)))
+    limit = F.expr(f"percentile(_d, {percentile})").over(Window.partitionBy(doc))
+    marked = far.withColumn("_new", F.coalesce((F.col("_d") > limit).cast("int"), F.lit(0)))
+    return marked.withColumn("group_no", (F.sum("_new").over(w) + 1).cast("int")).drop("_d", "_new")

@@ -68,3 +68,10 @@ def exists_in(df: DataFrame, other: DataFrame, keys: list[str], name: str) -> Da
 
 def distinct_domains(df: DataFrame, column: str = "url") -> DataFrame:
     return df.filter(F.col(column).isNotNull()).select(domain_of(F.col(column)).alias("domain")).distinct()
+
+
+def fetch_plan(links: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(to fetch, SKIPPED log rows): links whose file (`filename`) is there already are skipped."""
+    have = files.select("filename").distinct()
+    skipped = links.join(have, "filename", "left_semi").select(F.lit("crawl").alias("stage"), F.lit("SKIPPED").alias("status"), "url", F.lit("already fetched").alias("reason"))
+    return links.join(have, "filename", "left_anti"), skipped
