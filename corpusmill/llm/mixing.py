@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
@@ -219,9 +219,9 @@ def fit_rates(members: DataFrame, targets: np.ndarray, caps: np.ndarray, sizes:
     return steps
 
 
-def _uniform(c) -> object:
+def _uniform(c) -> Column:
     """A number in [0, 1) from the id."""
-    return F.shiftrightunsigned(F.xxhash64(c, F.lit("mixing")), 11) / float(1 << 53)
+    return F.shiftrightunsigned(F.xxhash64(c, F.lit("mixing")), 11) * (1.0 / (1 << 53))
 
 
 def whole_repeats(rated: DataFrame) -> DataFrame:
@@ -233,7 +233,7 @@ def whole_repeats(rated: DataFrame) -> DataFrame:
     its target.
     """
     part = F.col("rate") - F.floor("rate")
-    rows = written(rated.withColumn("part", F.when(part < 1e-9, 0.0).otherwise(part)).withColumn("u", F.when(F.col("part") > 0, _uniform("doc_id") / F.col("part"))), "rates")
+    rows = written(rated.withColumn("part", F.when(part < 1e-9, 0.0).otherwise(part)).withColumn("u", F.when(F.col("part") > 0, F.try_divide(_uniform("doc_id"), F.col("part")))), "rates")
     open_rows = rows.filter("part > 0").select("main", "u", "tokens", "part")
     asked = {r["main"]: r["t"] for r in open_rows.groupBy("main").agg(F.sum(F.col("part") * F.col("tokens")).alias("t")).collect()}
     low = dict.fromkeys(asked, 0.0)
@@ -244,7 +244,7 @@ def whole_repeats(rated: DataFrame) -> DataFrame:
         if not asked:
             break
         frame = rows.sparkSession.createDataFrame([(m, float(low[m]), float(width[m])) for m in asked], "main int, low double, width double")
-        cell = F.floor((F.col("u") - F.col("low")) / F.col("width"))
+        cell = F.floor(F.try_divide(F.col("u") - F.col("low"), F.col("width")))
         hist = open_rows.join(F.broadcast(frame), "main").withColumn("cell", cell).filter(f"cell >= 0 and cell < {GRID}").groupBy("main", "cell").agg(F.sum("tokens").alias("t")).toPandas()  # at most domains x GRID rows
         for m in asked:
             own = hist[hist["main"] == m].sort_values("cell")
