@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+from corpusmill.operators import snapshots
 from corpusmill.operators.snapshots import diff_snapshots
 
 SCHEMA = "snapshot_no int, url string, content_hash string, last_update timestamp_ntz, key string, leaf string, digest int"
@@ -45,7 +46,7 @@ def test_cases(spark):
     assert (4, "u2", "changed") in diff(spark, data) and (9, "u1", "changed") in diff(spark, data)
 
 
-def test_random_and_hot_key(spark):
+def test_random_and_hot_key(spark, monkeypatch):
     r = random.Random(5)
     data = []
     for s in (3, 4, 8):
@@ -55,6 +56,8 @@ def test_random_and_hot_key(spark):
     data += [(3, "u7", "h7", T0)] * 300  # one key holds a third of the rows
     for levels in (1, 4):
         assert diff(spark, data, levels=levels) == brute(data)
+    monkeypatch.setattr(snapshots, "BROADCAST_RANGES", 0)
+    assert diff(spark, data) == brute(data)
 
 
 def test_empty_and_single(spark):
