@@ -91,7 +91,8 @@ def _kind(token: str) -> str:
     return "a" if token.isalpha() else "0" if token.isdigit() else " " if token.isspace() else token
 
 
-def value_code(value: str) -> list[str]:
+@lru_cache(50_000)
+def value_code(value: str) -> tuple[str, ...]:
     """The tokens that code one value."""
     out, at = [], 0
     for m in LINK.finditer(value):
@@ -101,24 +102,32 @@ def value_code(value: str) -> list[str]:
         out += ["U", *link[len(core) :]]
         at = m.end()
     out += [_kind(t) for t in _TOKENS.findall(value[at:])]
-    return [*out, "end"]
+    return (*out, "end")
+
+
+@lru_cache(64)
+def _parts(field: str, delimiter: str) -> list[str]:
+    return [p for p in _DELIMITERS[delimiter][1].split(field) if p.strip()]
+
+
+@lru_cache(50_000)
+def _unwrap(part: str, wrapping: str) -> tuple[str, str] | None:
+    """The value in the wrapping and what is taken off; None if the part is not in it, or a link would be lost."""
+    m = _WRAPPINGS[wrapping][1].match(part)
+    if not m or _SCHEME.search(part[: m.start(1)] + " " + part[m.end(1) :]):
+        return None
+    return m.group(1), part[: m.start(1)].strip() + part[m.end(1) :].strip()
 
 
 def parse(field: str, delimiter: str, wrapping: str) -> tuple[list[str], str, int]:
     """Values of the field under the dialect, the text that the wrapping takes off them, and how many were in the wrapping."""
-    unwrap = _WRAPPINGS[wrapping][1]
     values, off, wrapped = [], [], 0
-    for part in _DELIMITERS[delimiter][1].split(field):
-        if not part.strip():
-            continue
-        m = unwrap.match(part)
-        if m and not _SCHEME.search(part[: m.start(1)] + " " + part[m.end(1) :]):
+    for part in _parts(field, delimiter):
+        got = _unwrap(part, wrapping)
+        if got:
             wrapped += wrapping != "bare"
-            off.append(part[: m.start(1)].strip() + part[m.end(1) :].strip())
-            part = m.group(1)
-        else:
-            part = part.strip()
-        values.append(part)
+            off.append(got[1])
+        values.append(got[0] if got else part.strip())
     return values, "".join(off), wrapped
 
 
@@ -131,11 +140,23 @@ def candidates(field: str) -> Iterator[tuple[str, str]]:
                     yield d, w
 
 
-def _skeleton(field: str) -> str:
-    """The field with the insides of links made equal where no dialect looks at them: parses of equal skeletons cost the same."""
-    return re.sub(r"\d+", "0", re.sub(r"[A-Za-z]{2,}", lambda m: m.group() if m.group().lower() in _KEPT else "aa", field))
+def skeleton(field: str) -> str:
+    """The field as dialects see it: of links the scheme and the marks that could part them, of other text the kinds of its runs.
+
+    Dialects are compared on skeletons, so fields of the same make are compared once.
+    """
+    out, at = [], 0
+    for m in LINK.finditer(field):
+        out += [_other(field[at : m.start()]), "http://a", re.sub(r"[^,;.:!]+", "a", m.group()[7:])]
+        at = m.end()
+    return "".join([*out, _other(field[at:])])
+
+
+def _other(text: str) -> str:
+    return _DIGITS.sub("0", _LETTERS.sub(lambda m: m.group() if m.group().lower() in _KEPT else "aa", text))
 
 
+_LETTERS, _DIGITS = re.compile(r"[^\W\d_]{2,}"), re.compile(r"\d+")
 _KEPT = {"http", "https", "and", "et", "und", "or", "br", "see", "also"}
 
 
@@ -176,13 +197,12 @@ def value_codes(fields: DataFrame, model: dict[str, float] | None) -> dict[str,
         total: Counter = Counter()
         known: dict[str, list[tuple[str, float]]] = {}
         for b in batches:
-            for field in b["field"]:
-                sk = _skeleton(field)
+            for sk in map(skeleton, b["field"]):
                 if (got := known.get(sk)) is None:
                     each: Counter = Counter()
-                    found = list(candidates(field)) if frozen is None else [cheapest(field, *frozen)]
+                    found = list(candidates(sk)) if frozen is None else [cheapest(sk, *frozen)]
                     for dw in found:
-                        for v in parse(field, *dw)[0]:
+                        for v in parse(sk, *dw)[0]:
                             for t in value_code(v):
                                 each[t] += 1 / len(found)
                     got = list(each.items())
@@ -214,9 +234,9 @@ def split_packed_links(df: DataFrame, id_col: str, columns: list[str]) -> DataFr
         for b in batches:
             out: list[tuple] = []
             for key, name, field in zip(b[id_col].tolist(), b["field_name"], b["field"]):
-                sk = _skeleton(field)
+                sk = skeleton(field)
                 if (dw := known.get(sk)) is None:
-                    dw = cheapest(field, bits, unseen)
+                    dw = cheapest(sk, bits, unseen)
                     if len(sk) < SHAPE_CHARS and len(known) < 50_000:
                         known[sk] = dw
                 links = [x for v in parse(field, *dw)[0] for x in links_of(v)]
