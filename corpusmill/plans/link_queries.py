@@ -23,7 +23,7 @@ def links_union_merge(spark: SparkSession, d: str) -> DataFrame:
 
 def links_union_sources(spark: SparkSession, d: str) -> DataFrame:
     """Two index tables as one: the help links, and the missionary ones without their first two rows; absent columns `Missing`."""
-    links = table(spark, d, "all_links").select(F.col("link_id").alias("ord"), "url", F.col("title")[0].alias("title"), F.col("section")[0].alias("section"), "role_name")
+    links = table(spark, d, "all_links").select(F.col("link_id").alias("ord"), "url", F.get("title", F.lit(0)).alias("title"), F.get("section", F.lit(0)).alias("section"), "role_name")
     helped = links.filter("role_name = 'help'").drop("role_name")
     other = links.filter("role_name = 'missionary'").drop("role_name", "section")
     return L.union_sources([(helped, "help", 0), (other, "missionary", 2)]).select("url", "title", "section", "role_name")
