@@ -15,7 +15,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder named in spark.checkpoint.dir. Only where that is unset (tests on one machine) a temporary one is made and set."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="corpusmill-")
         spark.conf.set("spark.checkpoint.dir", found)
