@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import strip
+from corpusmill.functions.text import once, strip
 
 RULE = "---\n"
 
@@ -26,9 +26,11 @@ def front_matter_map(text: Column) -> Column:
         longer = F.concat(F.slice(state["done"], 1, F.size(state["done"]) - 1), F.array(F.struct(last["k"].alias("k"), F.concat(last["v"], F.lit(" "), strip(line)).alias("v"))))
         return F.struct(F.when(at > 0, F.concat(state["done"], fresh)).when(F.size(state["done"]) > 0, longer).otherwise(state["done"]).alias("done"))
 
-    pairs = F.aggregate(lines, start, add)["done"]
-    last_of = F.filter(pairs, lambda p: F.lit(True))
-    return F.when(F.size(parts) >= 3, F.map_from_entries(last_of))
+    def last_of_each(pairs: Column) -> Column:  # whatever the session says of double keys
+        later = lambda p, i: F.exists(F.slice(pairs, i + 2, F.greatest(F.size(pairs), F.lit(1))), lambda q: q["k"] == p["k"])
+        return F.map_from_entries(F.filter(pairs, lambda p, i: ~later(p, i)))
+
+    return F.when(F.size(parts) >= 3, once(F.aggregate(lines, start, add)["done"], last_of_each))
 
 
 def front_matter_body(text: Column) -> Column:

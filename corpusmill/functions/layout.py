@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import re
 
-from corpusmill.functions.text import straight_quotes  # noqa: F401  (the column form of the same mapping)
-
 # Element types, terms and their semesters.
 PARAGRAPHS = ["NarrativeText", "UncategorizedText", "Footer"]
 HEADINGS = ["Title", "Header"]
@@ -71,7 +69,6 @@ def calendar_lists(table: str, year: str) -> str:
     if "Semester" in table:
         out.append(f"### Semester ({semester} {year}):")
         out += [f"- {r[0] + ' ' + semester if r[0] in ('Start', 'End') else r[0]}: {r[3]}" for r in data]
-        return "\n".join(out)
     return "\n".join(out)
 
 

@@ -16,14 +16,14 @@ LOG_SCHEMA = "timestamp timestamp, stage string, status string, url string, file
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str, header_line: int = 1, keep_empty: bool = False) -> DataFrame:
-    """A CSV with a stated schema. `header_line` 2: the line before the header is skipped. `keep_empty`: '' instead of null."""
+    """A CSV with a stated schema. `header_line` 2 (of one file): the line before the header is skipped. `keep_empty`: '' instead of null."""
     options = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"'}
     if header_line == 1:
         df = spark.read.schema(schema).options(**options).csv(path)
     else:
-        # a second line as header: names come from the schema, the first lines of each file are dropped by content-free position
+        # names come from the schema; a multi-line CSV is one partition, so the ids in it count its rows
         df = spark.read.schema(schema).options(**options | {"header": "false"}).csv(path)
-        df = df.withColumn("_n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).filter(F.col("_n") >= header_line).drop("_n")  # a multi-line CSV is one partition a file
+        df = df.withColumn("_n", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)).filter(F.col("_n") >= header_line).drop("_n")
     return df.na.fill("") if keep_empty else df
 
 

@@ -57,7 +57,7 @@ def test_json_and_duration(spark):
 
 
 def test_front_matter(spark):
-    text = "---\ntitle: 'A', 'B'\nurl: u: v\nmore\n---\nbody\n---\nrest"
+    text = "---\ntitle: old\ntitle: 'A', 'B'\nurl: u: v\nmore\n---\nbody\n---\nrest"
     assert one(spark, text, M.front_matter_map) == {"title": "'A', 'B'", "url": "u: v more"}
     assert one(spark, text, M.front_matter_body) == "body\n---rest"
     assert one(spark, "no front", M.front_matter_body) == "no front" and one(spark, "no front", M.front_matter_map) is None
