@@ -11,6 +11,8 @@ from corpusmill.storage import written
 EDGE_BLANKS = r"^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$"
 #: Leaves of the tree: 16 ** LEVELS hash ranges a snapshot, a fixed number, so the digest tables are bounded for any input.
 LEVELS = 4
+#: Words of 64 ranges that say which differ: at most 16 ** LEVELS / 64 a pair; broadcast up to this many (20 bytes each), else joined by a shuffle.
+BROADCAST_WORDS = 500_000
 
 
 def trimmed(c: Column) -> Column:
@@ -65,6 +67,11 @@ def differing(nodes: DataFrame, pairs: DataFrame, within: DataFrame | None) -> D
     return steps.groupBy("later_no", "node").agg(same.alias("same")).filter("not same").select("later_no", "node")
 
 
+def range_words(found: DataFrame) -> DataFrame:
+    """(of_no, word, bits): the differing ranges as bits, 64 to a row."""
+    return found.groupBy(F.col("later_no").alias("of_no"), F.shiftright("node", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(node % 64)))").alias("bits"))
+
+
 def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url", digest: str = "content_hash", updated: str = "last_update", levels: int = LEVELS) -> DataFrame:
     """(snapshot_no, key, change_kind) for each two consecutive snapshots, change_kind `added`, `removed` or `changed`.
 
@@ -85,12 +92,13 @@ def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url
     found = None
     for nodes in reversed(tree):
         found = differing(nodes, pairs, found)
-    found = written(found, "differing")
     sides = rows.join(F.broadcast(pairs), "snapshot_no").select(F.inline(F.array(
         F.struct(F.col("snapshot_no").alias("later_no"), F.lit(True).alias("later"), "leaf", "key", "digest"),
         F.struct(F.col("next_no").alias("later_no"), F.lit(False).alias("later"), "leaf", "key", "digest"),
     ))).filter("later_no is not null")
-    sides = sides.join(found, (sides.later_no == found.later_no) & (sides.leaf == found.node), "left_semi")
+    words = written(range_words(found), "ranges")
+    held = F.broadcast(words) if words.count() <= BROADCAST_WORDS else words
+    sides = sides.join(held, (sides.later_no == words.of_no) & (F.shiftright(sides.leaf, 6) == words.word)).filter(F.expr("(shiftright(bits, int(leaf % 64)) & 1L) = 1L"))
     first = tree[0].select(F.min("snapshot_no").alias("first_no"))
     both = sides.groupBy("later_no", "key").agg(
         F.max(F.when(F.col("later"), 1)).alias("has_new"), F.max(F.when(~F.col("later"), 1)).alias("has_old"),

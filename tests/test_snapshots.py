@@ -56,7 +56,7 @@ def test_random_and_hot_key(spark, monkeypatch):
     data += [(3, "u7", "h7", T0)] * 300  # one key holds a third of the rows
     for levels in (1, 4):
         assert diff(spark, data, levels=levels) == brute(data)
-    monkeypatch.setattr(snapshots, "BROADCAST_RANGES", 0)
+    monkeypatch.setattr(snapshots, "BROADCAST_WORDS", -1)
     assert diff(spark, data) == brute(data)
 
 
