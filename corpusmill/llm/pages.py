@@ -46,6 +46,8 @@ IMPORTANCE = 0.74
 LEAST_PAGES = 3
 #: In the tree of all sources: share of all pages, and of the node's pages on which it stands outside the article.
 GLOBAL_SHARE, OUTSIDE_SHARE = 0.002, 0.7
+#: What a node leads: entries that repeat the page's headings, or links to other pages.
+LINK_BOX, CONTENTS_BOX = 1, 2
 #: Lines longer than this are article text or are known by the tree of exact content only.
 LONG = 100
 #: Partitions with at least so many pages of a source forget nodes seen on fewer than FORGET of them (lossy counting).
@@ -195,21 +197,22 @@ def merge_pages(docs: DataFrame) -> DataFrame:
 
 
 def unimportant_nodes(tree: DataFrame) -> DataFrame:
-    """(source, node, leads): the nodes to remove; source null and `everywhere`: in every source. `leads`: entries below go too."""
+    """(source, node, leads): the nodes to remove; source null and `everywhere`: in every source. `leads`: the box of entries below that goes too."""
     sizes = tree.filter("node is null").select(F.col("source").alias("of"), F.col("pages").alias("size"))
     nodes = tree.filter("node is not null").join(sizes, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     reference = F.least(F.greatest("size", F.lit(2)), F.lit(REFERENCE_PAGES))
     importance = F.log(F.col("size") / F.col("pages")) / F.log(reference)
     box = F.col("leads") >= 0.25 * F.col("pages")
+    kind = F.when(box, F.when(F.col("under") >= OUTSIDE_SHARE * F.col("pages"), CONTENTS_BOX).otherwise(LINK_BOX)).otherwise(0)
     shown = (F.col("row") < 0.5 * F.col("pages")) & ((F.col("heading") < 0.25 * F.col("pages")) | box)
     # a small source's nodes are too few to tell by their number alone: they must stand outside the article
     outside = F.col("above") + F.col("below") + F.col("under") >= OUTSIDE_SHARE * F.col("pages")
     sure = F.col("size") >= 150
-    own = nodes.filter((F.col("pages") >= LEAST_PAGES) & (importance <= IMPORTANCE) & shown & (sure | outside | box)).select("source", "node", (box & (F.col("heading") + F.col("leads") > 0)).alias("leads"), F.lit(False).alias("everywhere"))
+    own = nodes.filter((F.col("pages") >= LEAST_PAGES) & (importance <= IMPORTANCE) & shown & (sure | outside | box)).select("source", "node", kind.alias("leads"), F.lit(False).alias("everywhere"))
     total = sizes.agg(F.sum("size").alias("all"))
     world = nodes.groupBy("node").agg(*[F.sum(s).alias(s) for s in STATS]).join(F.broadcast(total))
     world = world.filter((F.col("pages") >= F.greatest(F.lit(5.0), GLOBAL_SHARE * F.col("all"))) & shown & (outside | (box & (F.col("heading") > 0))))
-    return own.unionByName(world.select(F.lit(None).cast("string").alias("source"), "node", box.alias("leads"), F.lit(True).alias("everywhere")))
+    return own.unionByName(world.select(F.lit(None).cast("string").alias("source"), "node", kind.alias("leads"), F.lit(True).alias("everywhere")))
 
 
 @dataclass(slots=True)
@@ -231,20 +234,20 @@ class Tree:
     """The unimportant nodes, looked up by source."""
 
     def __init__(self, rows: list[tuple]) -> None:
-        self.own: dict[str | None, dict[int, bool]] = defaultdict(dict)
-        self.world: dict[int, bool] = {}
+        self.own: dict[str | None, dict[int, int]] = defaultdict(dict)
+        self.world: dict[int, int] = {}
         for source, node, leads, everywhere in rows:
             (self.world if everywhere else self.own[source])[node] = leads
         self.own = dict(self.own)
 
     @classmethod
-    def over(cls, base: Tree, source: str | None, own: dict[int, bool]) -> Tree:
+    def over(cls, base: Tree, source: str | None, own: dict[int, int]) -> Tree:
         """`base` with the nodes of one source."""
         out = cls([])
         out.world, out.own = base.world, {source: own}
         return out
 
-    def _find(self, own: dict[int, bool], key: int) -> bool | None:
+    def _find(self, own: dict[int, int], key: int) -> int | None:
         found = own.get(key)
         return self.world.get(key) if found is None else found
 
@@ -253,16 +256,16 @@ class Tree:
         own = self.own.get(source, {})
         lines = read_page(text)
         n = len(lines)
-        chrome, leads = [False] * n, [False] * n
+        chrome, leads = [False] * n, [0] * n
         for i, x in enumerate(lines):
             if x.kind in (TABLE, QUOTE):
                 continue
             hit = self._find(own, x.key) if x.key else None
             if hit is None and x.kind in (PLAIN, MENU) and (label := _label_key(x.content)) is not None:
                 hit = self._find(own, label)
-                hit = None if hit is None else False
+                hit = None if hit is None else 0
             if hit is not None:
-                chrome[i], leads[i] = x.kind != LIST, bool(hit)
+                chrome[i], leads[i] = x.kind != LIST, hit
         at = title_place(lines, title)
         named, after = at is not None, []
         if at is None:  # the first line that is neither unimportant nor a menu, breadcrumb or list entry
@@ -280,14 +283,14 @@ class Tree:
         return Reading(lines, at, chrome, named, after)
 
     @staticmethod
-    def _boxes(lines: list[Line], chrome: list[bool], leads: list[bool], at: int) -> None:
+    def _boxes(lines: list[Line], chrome: list[bool], leads: list[int], at: int) -> None:
         later = Counter(x.content for x in lines)
         i, n = at + 1, len(lines)
         while i < n:
             if not (chrome[i] and leads[i]):
                 i += 1
                 continue
-            contents = i - at <= 8 and lines[i].kind != HEADING
+            contents = leads[i] == CONTENTS_BOX
             j = i + 1
             if j < n and lines[j].no > lines[i].no + (1 if lines[j].kind not in (LIST, ARROW) else 2):
                 i = j
