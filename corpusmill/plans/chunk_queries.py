@@ -12,11 +12,11 @@ from corpusmill.operators import sweep as S
 from corpusmill.operators import vectors as V
 from corpusmill.storage import shared_dir
 from corpusmill.streaming import logs as SL
-from corpusmill.tables import table
+from corpusmill.tables import spread, table
 
 
 def _paragraphs(spark: SparkSession, d: str) -> DataFrame:
-    return K.paragraphs(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
+    return K.paragraphs(spread(table(spark, d, "documents", "doc_id", "text")), "doc_id", "text")
 
 
 def paragraph_split(spark: SparkSession, d: str) -> DataFrame:
@@ -61,7 +61,7 @@ def heading_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def chunk_full(spark: SparkSession, d: str) -> DataFrame:
-    return K.chunk_documents(table(spark, d, "documents", "doc_id", "text"))
+    return K.chunk_documents(spread(table(spark, d, "documents", "doc_id", "text")))
 
 
 def chunk_stats(spark: SparkSession, d: str) -> DataFrame:
@@ -85,7 +85,7 @@ def zero_chunk_files(spark: SparkSession, d: str) -> DataFrame:
 
 
 def sliding_chunks(spark: SparkSession, d: str) -> DataFrame:
-    c = K.word_windows(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text", 128, 32)
+    c = K.word_windows(spread(table(spark, d, "documents", "doc_id", "text")), "doc_id", "text", 128, 32)
     return c.select("doc_id", "pos", F.sha2("chunk", 256).alias("chunk_sha256"))
 
 

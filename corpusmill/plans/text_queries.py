@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 
 from corpusmill.functions import frontmatter as M
 from corpusmill.functions import text as T
-from corpusmill.tables import table
+from corpusmill.tables import spread, table
 
 
 def _docs(spark: SparkSession, d: str, *more: str) -> DataFrame:
-    return table(spark, d, "documents", "doc_id", "text", *more)
+    return spread(table(spark, d, "documents", "doc_id", "text", *more))
 
 
 def text_clean_markdown(spark: SparkSession, d: str) -> DataFrame:
