@@ -34,9 +34,9 @@ def within_days(df: DataFrame, days: int, stamp: str = "created_at") -> DataFram
     return df.join(F.broadcast(last), F.col(stamp) >= F.col("_last") - F.expr(f"interval {days} days")).drop("_last")
 
 
-def observations_of(traces: DataFrame, observations: DataFrame, most: int = 50) -> DataFrame:
-    """Each trace's first `most` observations with the trace's columns."""
-    w = Window.partitionBy("trace_id").orderBy("logged_at", "observation_id")
+def observations_of(traces: DataFrame, observations: DataFrame, order: list[str], most: int = 50) -> DataFrame:
+    """Each trace's first `most` observations along `order` with the trace's columns."""
+    w = Window.partitionBy("trace_id").orderBy(*order)
     first = observations.filter("trace_id is not null").withColumn("_n", F.row_number().over(w)).filter(F.col("_n") <= most).drop("_n")
     return first.join(traces.select("trace_id", "trace_name", "user_id", F.col("created_at").alias("trace_timestamp")), "trace_id")
 

@@ -75,10 +75,9 @@ def trace_time_range(spark: SparkSession, d: str) -> DataFrame:
 
 
 def observations_top50(spark: SparkSession, d: str) -> DataFrame:
-    """Up to 50 log entries of each trace; entry n is taken as an observation of trace n modulo the traces, as stand-in."""
-    log = _log(spark, d)
-    seen = log.select(F.col("log_id").alias("observation_id"), F.format_string("tr-%08d", F.col("log_id") % 100 + 1).alias("trace_id"), "logged_at", "status")
-    return B.observations_of(table(spark, d, "traces"), seen).select("trace_id", "observation_id", "trace_name", "status")
+    """Up to 50 observations of each trace with the trace's columns; its scores stand for them."""
+    seen = table(spark, d, "scores").distinct().select(F.col("score_id").alias("observation_id"), "trace_id", "score_name")
+    return B.observations_of(table(spark, d, "traces"), seen, ["observation_id"]).select("trace_id", "observation_id", "trace_name", "user_id", "score_name")
 
 
 def questions_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -130,9 +129,9 @@ SELECT log_id, delay, h || ' hour' || CASE WHEN h = 1 THEN '' ELSE 's' END || ',
     "feedback_join": _FEEDBACK + "SELECT trace_id, user_feedback FROM j",
     "feedback_count": _FEEDBACK + "SELECT count(*) AS n_traces, count(*) FILTER (user_feedback <> '') AS n_with_feedback FROM j",
     "trace_time_range": "SELECT trace_id, created_at FROM traces WHERE created_at >= (SELECT max(created_at) FROM traces) - INTERVAL 7 DAY",
-    "observations_top50": _LOG
-    + """SELECT trace_id, observation_id, trace_name, status FROM (SELECT log_id AS observation_id, printf('tr-%08d', log_id % 100 + 1) AS trace_id, logged_at, status FROM log
-QUALIFY row_number() OVER (PARTITION BY log_id % 100 ORDER BY logged_at, log_id) <= 50) JOIN traces USING (trace_id)""",
+    "observations_top50": """WITH s AS (SELECT DISTINCT * FROM scores WHERE trace_id IS NOT NULL)
+SELECT trace_id, observation_id, trace_name, user_id, score_name FROM (SELECT trace_id, score_id AS observation_id, score_name FROM s
+QUALIFY row_number() OVER (PARTITION BY trace_id ORDER BY score_id) <= 50) JOIN traces USING (trace_id)""",
     "questions_extract": _QUESTIONS + "SELECT * FROM r",
     "questions_by_country": _QUESTIONS + "SELECT country, user_language, count(*) AS n FROM r GROUP BY ALL",
     "trace_metadata_keys": "SELECT array_to_string(list_sort(list(DISTINCT k)), ',') AS keys FROM (SELECT unnest(json_keys(metadata)) AS k FROM traces WHERE json_valid(metadata))",
