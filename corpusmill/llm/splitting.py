@@ -55,35 +55,56 @@ def boundaries(text: str, first: int, begin: int, end: int) -> tuple[list[int],
     return offsets, [best[x] for x in offsets]
 
 
-def _best(offsets: list[int], levels: list[int], low: int, high: int, last: bool) -> int | None:
-    """The strongest boundary in (low, high]; of equals the last or the first."""
+def _best(offsets: list[int], levels: list[int], low: int, high: int, last: bool, least: int = WORD) -> int | None:
+    """The strongest boundary of `least` or more in (low, high]; of equals the last or the first."""
     i, j = bisect_right(offsets, low), bisect_right(offsets, high)
-    if i >= j:
+    top = max(levels[i:j], default=0)
+    if top < least:
         return None
-    top = max(levels[i:j])
     found = [offsets[k] for k in range(i, j) if levels[k] == top]
     return found[-1] if last else found[0]
 
 
-def layout(offsets: list[int], levels: list[int], start: int, stop: int, limit: int, overlap: int) -> list[tuple[int, int]]:
-    """(begin, end) of the pieces over [start, stop): each at most `limit` long, the next beginning up to `overlap` before the end of the last."""
-    out, begin = [], start
+def _end(offsets: list[int], levels: list[int], begin: int, reached: int, limit: int) -> int:
+    """Where the piece from `begin` ends, after `reached`: at a natural end of the second half of its reach, else of the first, else at a blank, else at the limit."""
+    half, far = begin + limit // 2, begin + limit
+    natural = _best(offsets, levels, max(half, reached), far, True, SENTENCE) or _best(offsets, levels, reached, half, True, SENTENCE)
+    return natural or _best(offsets, levels, max(half, reached), far, True) or far
+
+
+def _again(offsets: list[int], levels: list[int], end: int, low: int, stop: int, limit: int) -> int:
+    """Where the piece after `end` begins, from `low` on: early, but so that it reaches the next natural end if any piece can."""
+    i, j = bisect_right(offsets, end), bisect_right(offsets, end + limit)
+    ahead = min(next((offsets[k] for k in range(i, j) if levels[k] >= SENTENCE), stop), stop)
+    if ahead - end <= limit:
+        low = max(low, ahead - limit)
+    i, j = bisect_left(offsets, low), bisect_left(offsets, end)
+    inside = [(levels[k] >= SENTENCE, -offsets[k]) for k in range(i, j)]
+    return -max(inside)[1] if inside else low
+
+
+def layout(offsets: list[int], levels: list[int], start: int, stop: int, limit: int, overlap: int, reached: int | None = None) -> list[tuple[int, int]]:
+    """(begin, end) of the pieces over [start, stop): each at most `limit` long, the next beginning up to `overlap` before the end of the last.
+
+    What lies before `reached` (else `start`) is in an earlier piece. A piece ends inside a run without natural ends only
+    if the run is longer than `limit`.
+    """
+    out, begin, reached = [], start, start if reached is None else reached
     while True:
         if stop - begin <= limit:
             out.append((begin, stop))
             return out
-        reached = out[-1][1] if out else begin
-        end = _best(offsets, levels, max(begin + limit // 2, reached), begin + limit, True) or begin + limit
+        end = reached = _end(offsets, levels, begin, reached, limit)
         out.append((begin, end))
         if end >= stop:
             return out
-        i, j = bisect_left(offsets, end - overlap), bisect_left(offsets, end)
-        inside = [(levels[k] >= SENTENCE, -offsets[k]) for k in range(i, j)]
-        begin = -max(inside)[1] if inside and overlap else end - overlap
+        begin = _again(offsets, levels, end, max(end - overlap, begin + 1), stop, limit)
 
 
 def _anchor(offsets: list[int], levels: list[int], at: int, limit: int) -> int:
-    return _best(offsets, levels, at, at + limit // 2, False) or at
+    half = at + limit // 2
+    natural = _best(offsets, levels, at, half, False, SENTENCE) or _best(offsets, levels, half, at + limit, False, SENTENCE)
+    return natural or _best(offsets, levels, at, half, False) or at
 
 
 def column_ranges(df: DataFrame, id_col: str, text_col: str, limit: int, size: int = RANGE) -> DataFrame:
@@ -171,15 +192,13 @@ def piece_plan(ranges: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP, bl
             rows: list[tuple] = []
             for d, k, total, o, v in zip(b["doc"].tolist(), b["block"].tolist(), b["total"].tolist(), b["offsets"], b["levels"]):
                 o, v = list(o), list(v)
-                start = _anchor(o, v, k * block, limit) if k else 0
-                stop = total if (k + 1) * block + limit // 2 >= total else _anchor(o, v, (k + 1) * block, limit)
-                if k and k * block + limit // 2 >= total:
+                start = reached = _anchor(o, v, k * block, limit) if k else 0
+                stop = total if (k + 1) * block + limit >= total else _anchor(o, v, (k + 1) * block, limit)
+                if k and k * block + limit >= total:
                     continue  # a short rest belongs to the block before
                 if k:  # repeat the end of the last block's last piece
-                    i = bisect_left(o, start - overlap)
-                    inside = [x for x in o[i:] if x < start]
-                    start = inside[0] if inside and overlap else start - (overlap if not inside else 0)
-                cut = layout(o, v, start, stop, limit, overlap)
+                    start = _again(o, v, reached, reached - overlap, stop, limit)
+                cut = layout(o, v, start, stop, limit, overlap, reached)
                 rows.append((d, k, [a for a, _ in cut], [z for _, z in cut]))
             yield frame(rows, ["doc", "block", "begins", "ends"])
 
@@ -206,8 +225,8 @@ def split_oversized(df: DataFrame, id_col: str, text_col: str, limit: int = LIMI
     """(id_col, piece_no, begin, end, text) of each text of more than `limit` characters (code points).
 
     Pieces have at most `limit` characters and end at the end of a section, paragraph, line or sentence of the second half
-    of their reach, in this order of preference, else at a blank, else at the limit. Each repeats up to `overlap`
-    characters of the piece before. Texts up to the limit, null and empty ones give no rows; ids must be unique; other
+    of their reach, in this order of preference, else of the first half, else at a blank, else at the limit. Each repeats up
+    to `overlap` characters of the piece before, fewer where it would else miss the next such end. Texts up to the limit, null and empty ones give no rows; ids must be unique; other
     columns are ignored. The pieces are the same for every range size.
     """
     ranges = column_ranges(df, id_col, text_col, limit, size)

@@ -48,6 +48,29 @@ def test_cuts_at_the_strongest_boundary(spark):
     assert first[2].endswith("\n") and text[first[1] :].startswith("# Head")
 
 
+def test_natural_ends_of_the_first_half_count(spark):
+    texts = ["Word. " * 20 + "run " * 200, "A b. " + "x " * 210 + "end. " + "Y. " * 90, "One. " + "z " * 195 + "q. " + "k " * 196 + "e. " + "T. " * 40]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = pieces_of(df, limit=400, overlap=60)
+    assert got[0][0][2].rstrip().endswith("Word.")
+    for i, pieces in got.items():
+        check(texts[i], pieces, 400, 60)
+    assert all(t.rstrip().endswith(".") for _, _, t in got[2])
+
+
+def test_cuts_a_run_only_if_no_piece_can_hold_it(spark):
+    r = random.Random(3)
+    texts = ["".join(r.choice(["Say it. ", "Here\n", "w " * r.randint(1, 260), "\n\n"]) for _ in range(r.randint(5, 120))) for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for how in ({"block": 2048}, {}):
+        for i, pieces in pieces_of(df, limit=400, overlap=60, **how).items():
+            check(texts[i], pieces, 400, 60)
+            natural = [0] + [o for o, v in zip(*S.boundaries(texts[i], 0, 0, len(texts[i]))) if v >= S.SENTENCE] + [len(texts[i])]
+            for _, z, _ in pieces:
+                if z not in natural:
+                    assert min(n for n in natural if n > z) - max(n for n in natural if n < z) > 400
+
+
 def test_files_by_byte_ranges(spark, tmp_path):
     r = random.Random(2)
     text = text_of(r, 7000).replace("\r\n", "\n")
