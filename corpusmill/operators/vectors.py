@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpusmill.functions.text import once
+
 #: Query vectors of one block, broadcast: at most this many numbers (8 bytes each). More queries are answered block by block.
 BLOCK_NUMBERS = 2_000_000
 
@@ -107,7 +109,7 @@ def hashed_embedding(c: Column, size: int = 64) -> Column:
     """A deterministic offline embedding: counts of hashed words, all in the JVM."""
     w = F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda x: x != "")
     places = F.transform(w, lambda x: F.pmod(F.xxhash64(x), F.lit(size)))
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(places, lambda p: p == i)).cast("float"))
+    return once(places, lambda at: F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.size(F.filter(at, lambda p: p == i)).cast("float")))
 
 
 def label_vote(hits: DataFrame, labels: DataFrame, id_col: str = "vec_id", label: str = "label", query_id: str = "query_id") -> DataFrame:

@@ -10,7 +10,8 @@ from corpusmill.operators import chunks as K
 from corpusmill.operators import retrieval as R
 from corpusmill.operators import sweep as S
 from corpusmill.operators import vectors as V
-from corpusmill.storage import shared_dir
+from corpusmill.plans import pipelines as P
+from corpusmill.storage import shared_dir, written
 from corpusmill.streaming import logs as SL
 from corpusmill.tables import spread, table
 
@@ -116,10 +117,33 @@ def knn_label_vote(spark: SparkSession, d: str) -> DataFrame:
     return V.label_vote(V.top_k(q, v, 16).filter("vec_id <> query_id"), v)
 
 
+#: Chunks of one document at most: a chunk's vec_id is doc_id * MOST_CHUNKS + pos.
+MOST_CHUNKS = 1 << 24
+
+
+def _index(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The index over all documents, and its statistics."""
+    index, statistics = P.build_index(spread(table(spark, d, "documents", "doc_id", "text")))
+    return index.withColumn("vec_id", F.col("doc_id") * MOST_CHUNKS + F.col("pos")), statistics
+
+
+def index_build(spark: SparkSession, d: str) -> DataFrame:
+    digests = {f"{c}_sha256": F.sha2(c, 256) for c in ("embedded_text", "text")}
+    return _index(spark, d)[0].withColumns(digests).select("vec_id", "doc_id", "pos", "sequence", "url", "title", *digests, "embedding")
+
+
+def index_statistics(spark: SparkSession, d: str) -> DataFrame:
+    return _index(spark, d)[1]
+
+
+def index_evaluate(spark: SparkSession, d: str) -> DataFrame:
+    """Mean F over a grid of k, threshold and n-gram length."""
+    return P.evaluate(_asked(spark, d), _corpus(spark, d), {"k": [2, 5], "threshold": [0.1, 0.5], "n": [2]})
+
+
 def _corpus(spark: SparkSession, d: str) -> DataFrame:
-    """Eval quotes as chunks with offline embeddings."""
-    items = table(spark, d, "eval_items", "item_id", "quote").filter("quote is not null")
-    return items.select(F.col("item_id").alias("vec_id"), F.col("quote").alias("text"), V.hashed_embedding(F.col("quote")).alias("embedding"))
+    """The chunks of all documents with offline embeddings, written once: the search and the look-up of the texts read them."""
+    return written(_index(spark, d)[0].select("vec_id", "text", "embedding"), "index")
 
 
 def _asked(spark: SparkSession, d: str) -> DataFrame:
@@ -136,7 +160,8 @@ def retrieval_scores(spark: SparkSession, d: str) -> DataFrame:
 def rerank_hits(spark: SparkSession, d: str) -> DataFrame:
     """The best 16 hits reranked by word overlap, at most 5 at 0.2 or more."""
     asked = _asked(spark, d).join(table(spark, d, "eval_items", "item_id", "question"), F.col("query_id") == F.col("item_id")).drop("item_id")
-    hits = V.top_k(asked, _corpus(spark, d), 16).join(_corpus(spark, d).select("vec_id", "text"), "vec_id").join(asked.select("query_id", "question"), "query_id")
+    corpus = _corpus(spark, d)
+    hits = V.top_k(asked, corpus, 16).join(corpus.select("vec_id", "text"), "vec_id").join(asked.select("query_id", "question"), "query_id")
     return V.rerank(hits, V.word_overlap_scorer, "question", "text", 0.2, 5).select("query_id", "vec_id", F.round("relevance", 6).alias("relevance"))
 
 
@@ -166,7 +191,7 @@ def stream_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = """paragraph_split header_carry context_window embed_window prev_next sequence_islands adjacent_dedupe heading_counts chunk_full chunk_stats chunk_stats_plain
-zero_chunk_files sliding_chunks sentence_split knn_topk knn_threshold knn_label_vote retrieval_scores rerank_hits sweep_grid stream_status_counts""".split()
+zero_chunk_files sliding_chunks sentence_split knn_topk knn_threshold knn_label_vote index_build index_statistics index_evaluate retrieval_scores rerank_hits sweep_grid stream_status_counts""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _P = r"""

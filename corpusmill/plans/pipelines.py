@@ -11,6 +11,7 @@ from corpusmill.functions import frontmatter as M
 from corpusmill.functions import text as T
 from corpusmill.functions.html import EMPTY, convert_pages
 from corpusmill.operators import changes, chunks, feedback, links, retrieval, sweep
+from corpusmill.operators.vectors import hashed_embedding
 from corpusmill.sources.services import embed_texts
 
 
@@ -32,11 +33,15 @@ def crawl_and_parse(all_links: DataFrame, current: DataFrame, previous: DataFram
     return documents, failures.unionByName(made.filter(F.col("markdown") == EMPTY).select("url", F.lit("no content").alias("reason")))
 
 
-def build_index(documents: DataFrame, embed: Callable[[list[str]], list[list[float]]], plan: chunks.ChunkPlan = chunks.ChunkPlan()) -> tuple[DataFrame, DataFrame]:
-    """(chunks with embedding and the shown text, one row of statistics); documents: doc_id, text with or without front matter."""
+def build_index(documents: DataFrame, embed: Callable[[list[str]], list[list[float]]] | None = None, plan: chunks.ChunkPlan = chunks.ChunkPlan()) -> tuple[DataFrame, DataFrame]:
+    """(chunks with embedding and the shown text, one row of statistics); documents: doc_id, text with or without front matter.
+
+    Without `embed` the offline embedding is taken.
+    """
     parsed = documents.select("doc_id", M.front_matter_map(F.col("text")).alias("meta"), M.front_matter_body(F.col("text")).alias("text"))
     nodes = chunks.chunk_documents(parsed, plan=plan)
-    index = embed_texts(nodes, "text", embed).withColumnsRenamed({"text": "embedded_text", "context": "text"})
+    embedded = embed_texts(nodes, "text", embed) if embed else nodes.withColumn("embedding", hashed_embedding(F.col("text")))
+    index = embedded.withColumnsRenamed({"text": "embedded_text", "context": "text"})
     whole = chunks.number_chunks(index.join(parsed.select("doc_id", F.col("meta")["url"].alias("url"), F.col("meta")["title"].alias("title")), "doc_id"))
     return whole, chunks.chunk_statistics(documents, nodes)
 

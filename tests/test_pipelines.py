@@ -37,6 +37,20 @@ def test_index_and_evaluation(spark):
     assert len(P.evaluate(asked, index.withColumn("vec_id", F.col("pos").cast("long")), {"k": [1], "threshold": [0.1], "n": [2]}, trials=2).collect()) == 2
 
 
+def test_search_is_over_the_documents(spark, rows, tmp_path):
+    from corpusmill.plans import chunk_queries as Q
+
+    texts = ["# A\n\ncats are small animals that sleep a lot", "# B\n\nthe fee is due in march each year", None]
+    spark.createDataFrame(list(enumerate(texts, 1)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    items = [(1, "q", "cats sleep", "cats are small animals that sleep a lot"), (2, "q", "whales", "whales swim in the wide sea")]
+    spark.createDataFrame(items, "item_id long, question string, ideal_answer string, quote string").write.parquet(str(tmp_path / "eval_items.parquet"))
+    scores = {r.query_id: r for r in Q.retrieval_scores(spark, str(tmp_path)).collect()}
+    assert scores[1].recall == 1 and scores[2].recall == 0
+    assert {r.vec_id // Q.MOST_CHUNKS for r in Q.rerank_hits(spark, str(tmp_path)).collect()} <= {1, 2}
+    assert rows(Q.index_build(spark, str(tmp_path)), "doc_id", "sequence") == [(1, None), (2, None)]
+    assert Q.index_evaluate(spark, str(tmp_path)).count() == 4
+
+
 def test_services(spark, rows):
     df = spark.createDataFrame([(1, "a"), (2, "never"), (3, None)], "id int, text string")
     got = S.convert_texts(df, "id", "text", lambda ts: ["" if t in ("never", "") else t.upper() for t in ts])
