@@ -1,16 +1,27 @@
 """A site style tree for text pages, and what it tells about each line.
 
-A page's lines stand for its DOM nodes: the presentation of a line (heading, list entry, table row, quotation, menu,
-breadcrumb, plain) and its content with digits and month names masked. The pages of a source are merged: each node
-(source, content) counts its pages and where on the page and in which presentation it stands. A node's importance is the
-entropy-based one of style trees: a node that is the same on many pages of the source is unimportant, one that differs
-from page to page is important. Small sources lean on the tree of all sources. Unimportant branches go: a page's lines
-before the title, unimportant nodes, contents boxes and link boxes with their entries, and what follows the article.
+The texts are Markdown or plain text, so lines stand for DOM nodes. The tree of a source merges its pages:
+
+    source
+      region       above the title, right under it, body, tail (after the last article-like line)
+        element    a line by its wording (digits and month names masked); entries of lists, tables and quotations are no
+                   elements but the contents of their list, table or quotation
+          style    the region it stands in and what hangs below it: nothing, entries that repeat lines of the page,
+                   other entries, a line that many pages repeat, text of the page's own
+
+Importance goes upward as in style trees for web pages. A leaf's content importance is 1 less the entropy of its
+content over the pages: 0 for what every page shows, 1 for what is on one page only. An inner node's is
+(1 - GAMMA ** l) x the entropy of its l styles + GAMMA ** l x the mean importance of the styles' children. A branch goes if
+neither it nor anything below it is important: a contents or link box goes with its entries, since entries only point
+to other places, and a section's heading stays, however many pages have it, since the text below is the page's own.
+Regions are cut as branches too. Shares of pages count by their lower confidence bound, so small sources need no rule of
+their own, and the tree of all sources says what stands outside articles everywhere.
+
+Which elements are frequent is found in a first pass by bounded summaries (heavy.py), counted exactly in a second.
 """
 
 from __future__ import annotations
 
-import math
 import re
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable, Iterator
@@ -18,10 +29,11 @@ from dataclasses import dataclass
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
+from corpusmill.llm.heavy import HOT, attach, plain, summaries
 from corpusmill.storage import written
 from corpusmill.tables import spread
 
@@ -32,29 +44,40 @@ MONTHS = (
     "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
 ).split()
 # End of fixed values.
-_MONTH = re.compile(r"\b(?:" + "|".join(sorted(set(MONTHS), key=len, reverse=True)) + r")\b")
-_DIGITS = re.compile(r"\d+")
+_DATES = {x + mark for x in [*MONTHS, "0"] for mark in ("", ",", ".")}
+_DIGITS = re.compile(r"\d+(?:[./:-]\d+)*")
 _MARK = re.compile(r"(#{1,6}|[-*+•]|\(?\d+[.)]|>|→|←|«|»)[ \t]+")
-_LABEL = re.compile(r"([^\W\d][^:|]{0,23}?)\s?:\s")
-_CRUMB = re.compile(r"^\w[\w' -]{0,30} [>»/›] .+")
+_LABEL = re.compile(r"([^\W\d][^:|.!?]*?)\s?:\s")
+_CRUMB = re.compile(r"^\w[\w' -]* [>»/›] .+")
 HEADING, LIST, TABLE, QUOTE, ARROW, MENU, CRUMB, PLAIN = "hltqamcp"
 
-#: Pages that the entropy is measured over: a share of pages, not a number, decides, so a source's size does not.
-REFERENCE_PAGES = 200
-#: A node at or below this importance is unimportant (0.74: on about 2 % of the source's pages).
-IMPORTANCE = 0.74
+#: The logarithm's base of content entropy: shares of pages decide, not their number, so a source's size does not.
+REFERENCE = 200
+GAMMA = 0.97
+#: A branch at or below this importance is unimportant; for the tree of all sources see `world_nodes`.
+IMPORTANCE, WORLD_IMPORTANCE = 0.72, 0.5
+#: What hangs below an element is important if it is text of the pages' own on more than this share of its pages.
+BELOW = 0.5
+#: Deviations of the confidence bound of a share of pages.
+SURE = 3.0
 LEAST_PAGES = 3
-#: In the tree of all sources: share of all pages, and of the node's pages on which it stands outside the article.
-GLOBAL_SHARE, OUTSIDE_SHARE = 0.002, 0.7
-#: What a node leads: entries that repeat the page's headings, or links to other pages.
-LINK_BOX, CONTENTS_BOX = 1, 2
-#: Lines longer than this are article text or are known by the tree of exact content only.
+#: In the tree of all sources: least share of all pages.
+GLOBAL_SHARE = 0.002
+#: What the summaries of the first pass may lose: shares of a source's and of all pages, well below the thresholds.
+DROP, GLOBAL_DROP = 0.006, 0.0005
+CANDIDATE, GLOBAL_CANDIDATE = 0.01, 0.002
+#: A line on such a share of a source's pages is no text of a section's own.
+COMMON_SHARE = 0.02
+#: A region of few lines leans on that of all sources, as if it had so many lines of it.
+LEAN = 50
+#: Article-like by length.
 LONG = 100
-#: Partitions with at least so many pages of a source forget nodes seen on fewer than FORGET of them (lossy counting).
-FORGET = 0.004
+ABOVE, UNDER, TAIL, BODY = 0, 1, 2, 3
+NOTHING, REPEATS, ENTRIES, COMMON, OWN_TEXT = 0, 1, 2, 3, 4
+ROW, PAGES = 20, -1
+#: What a noisy element leads: entries that repeat the page's lines, or links to other pages.
+LINK_BOX, CONTENTS_BOX = 1, 2
 BROADCAST_NODES = 400_000
-#: Nodes of a source in one partition before the rare ones are forgotten.
-NODES = 200_000
 
 
 def node_hash(key: str) -> int:
@@ -62,8 +85,18 @@ def node_hash(key: str) -> int:
 
 
 def masked(content: str) -> str:
+    """Numbers and dates in any form as one 0."""
     out = _DIGITS.sub("0", content)
-    return _MONTH.sub("month", out) if "0" in out else out
+    if "0" not in out:
+        return out
+    kept: list[str] = []
+    for w in out.split(" "):
+        if w in _DATES:
+            if kept and kept[-1] == "0":
+                continue
+            w = "0"
+        kept.append(w)
+    return " ".join(kept)
 
 
 def presentation(line: str) -> tuple[str, str]:
@@ -85,35 +118,58 @@ def presentation(line: str) -> tuple[str, str]:
     return kind, content
 
 
+def label_of(content: str) -> str | None:
+    m = _LABEL.match(content)
+    return m.group(1) if m else None
+
+
 @dataclass(slots=True)
 class Line:
     no: int
     kind: str
     content: str
     key: int
+    label: int | None  # the element that all lines with this label are
     top: bool  # a first-level heading
 
 
-_memo: dict[str, tuple[str, str, int, bool]] = {}
+_memo: dict[str, tuple[str, str, int, int | None, bool] | None] = {}
+
+
+def _parsed(raw: str) -> tuple[str, str, int, int | None, bool] | None:
+    line = " ".join(raw.lower().split())
+    if not line:
+        return None
+    kind, content = presentation(line)
+    label = label_of(content) if kind in (PLAIN, HEADING, MENU) else None
+    return kind, content, node_hash(masked(content)), None if label is None else node_hash("label " + label), line[:2] == "# "
+
+
+def _look(raw: str) -> tuple[str, str, int, int | None, bool] | None:
+    try:
+        return _memo[raw]
+    except KeyError:
+        got = _parsed(raw)
+        if len(raw) <= LONG:  # longer lines are rarely met again
+            if len(_memo) > 300_000:
+                _memo.clear()
+            _memo[raw] = got
+        return got
 
 
 def read_page(text: str) -> list[Line]:
     """The non-blank lines of a page."""
-    out = []
-    for no, raw in enumerate(text.split("\n"), 1):
-        got = _memo.get(raw)
-        if got is None:
-            line = " ".join(raw.lower().split())
-            if not line:
-                continue
-            kind, content = presentation(line)
-            key = node_hash(masked(content)) if len(content) <= 2 * LONG else 0
-            got = (kind, content, key, line[:2] == "# ")
-            if len(raw) <= LONG:
-                if len(_memo) > 300_000:
-                    _memo.clear()
-                _memo[raw] = got
-        out.append(Line(no, *got))
+    return [Line(no, *got) for no, raw in enumerate(text.split("\n"), 1) if (got := _look(raw)) is not None]
+
+
+def page_keys(text: str) -> set[int]:
+    """The keys of a page's lines and labels."""
+    out = set()
+    for raw in text.split("\n"):
+        if (got := _look(raw)) is not None:
+            out.add(got[2])
+            if got[3] is not None:
+                out.add(got[3])
     return out
 
 
@@ -133,86 +189,175 @@ def title_place(lines: list[Line], title: str | None) -> int | None:
     return named
 
 
-def _label_key(content: str) -> int | None:
-    m = _LABEL.match(content)
-    return node_hash("label " + m.group(1)) if m else None
-
-
-# A node's counters: pages, before the title, after the article, under the title, as heading, as list or table row, with entries below
-STATS = ["pages", "above", "below", "under", "heading", "row", "leads"]
-
-
-def page_nodes(lines: list[Line], title: str | None) -> dict[int, list[int]]:
+def page_styles(lines: list[Line], title: str | None, frequent: Callable[[int], bool], common: Callable[[int], bool]) -> tuple[dict[int, int], list[int]]:
+    """The style of each frequent element of a page (its first place counts), and the number of lines in each region."""
     at = title_place(lines, title)
     last = max((i for i, x in enumerate(lines) if _articlelike(x)), default=-1)
-    out: dict[int, list[int]] = {}
+    out: dict[int, int] = {}
+    sizes = [0, 0, 0, 0]
+    often: Counter | None = None
+    top = at is not None
     for i, x in enumerate(lines):
-        if not x.key:
+        if top and i > at and (x.no - lines[at].no != i - at or _articlelike(x)):  # a blank line, or the article begins
+            top = False
+        under = top and i > at
+        region = ABOVE if at is not None and i < at else TAIL if i > last else UNDER if under else BODY
+        sizes[region] += 1
+        new = [k for k in (x.key, x.label) if k is not None and k not in out and frequent(k)]
+        if not new:
             continue
-        label = _label_key(x.content) if x.kind in (PLAIN, HEADING, MENU) else None
-        if x.key in out and (label is None or label in out):
-            continue
-        nxt = lines[i + 1] if i + 1 < len(lines) else None
-        row = [1, at is not None and i < at, i > last, at is not None and 0 < i - at <= 4, x.kind == HEADING, x.kind in (LIST, TABLE, QUOTE), nxt is not None and nxt.kind in (LIST, ARROW) and nxt.no <= x.no + 2]
-        out.setdefault(x.key, row)
-        if label is not None:
-            out.setdefault(label, row)
-    return out
+        if x.kind in (LIST, TABLE, QUOTE):
+            style = ROW + region
+        else:
+            nxt = lines[i + 1] if i + 1 < len(lines) else None
+            joined = nxt is not None and nxt.no == x.no + 1
+            below = NOTHING
+            if joined:
+                often = often or Counter(y.content for y in lines)
+                below = REPEATS if often[nxt.content] > 1 and nxt.kind != HEADING else ENTRIES if nxt.kind in (LIST, ARROW) else NOTHING
+            if below == NOTHING and nxt is not None and x.kind == HEADING:
+                below = COMMON if nxt.kind in (PLAIN, MENU) and common(nxt.key) else OWN_TEXT
+            style = region * 5 + below
+        for k in new:  # what follows a label is data, as numbers are, or a sentence of the page's own
+            out[k] = region * 5 + OWN_TEXT if k == x.label and style < ROW and x.content[-1] in ".!?" else style
+    return out, sizes
 
 
 def merge_pages(docs: DataFrame) -> DataFrame:
-    """(source, node, counters): the merged tree of each source; node null: its pages. docs: doc_id, source, title, text."""
-
-    def merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Lossy counting, as for repeated lines: the last number of a node is what its source had forgotten when it came in.
-        seen: Counter = Counter()
-        trees: dict[str | None, dict[int, list[int]]] = defaultdict(dict)
-        forgot: Counter = Counter()
+    """(source, node, style, n): the merged tree of each source, written. Exact counts of pages.
+
+    node null: style PAGES the source's pages, else a region and its lines. docs: doc_id, source, title, text.
+    """
+    rough = written(summaries(docs, page_keys, None, DROP, GLOBAL_DROP), "page-summaries")
+    totals = rough.filter("key is null").select(F.col("source").alias("of"), F.col("everywhere").alias("wide"), F.col("n").alias("docs"))
+    floor = F.when(F.col("everywhere"), F.lit(GLOBAL_CANDIDATE - GLOBAL_DROP)).otherwise(F.lit(CANDIDATE - DROP)) * F.col("docs")
+    frequent = rough.filter("key is not null").join(totals, F.col("source").eqNullSafe(F.col("of")) & (F.col("everywhere") == F.col("wide")))
+    frequent = written(frequent.filter((F.col("n") >= floor - 1e-9) & (F.col("n") >= 2)).select("source", "everywhere", "key", "n", "docs"), "page-candidates")
+    frequent = frequent.withColumn("common", F.col("n") >= F.greatest(F.lit(5.0), COMMON_SHARE * F.col("docs")))
+    whole, held = _held(frequent, BROADCAST_NODES, "key", "common")
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        own, world = held.value
+        styles: Counter = Counter()
+        sizes: dict = defaultdict(lambda: [0] * 5)
         for b in batches:
-            for source, title, text in zip(b["source"], b["title"], b["text"]):
-                source = source if isinstance(source, str) else None
-                seen[source] += 1
-                tree = trees[source]
-                for k, row in page_nodes(read_page(text), title if isinstance(title, str) else None).items() if text else ():
-                    if (old := tree.get(k)) is None:
-                        tree[k] = [*map(int, row), forgot[source]]
-                    else:
-                        for j, v in enumerate(row):
-                            if v:
-                                old[j] += 1
-            for s, tree in trees.items():
-                if len(tree) > NODES:
-                    forgot[s] = int(FORGET * seen[s])
-                    trees[s] = {k: row for k, row in tree.items() if row[0] + row[-1] > forgot[s]}
-        rows = [(s, None, n, 0, 0, 0, 0, 0, 0) for s, n in seen.items()]
-        for s, tree in trees.items():
-            cut = FORGET * seen[s]
-            rows += [(s, k, *row[:-1]) for k, row in tree.items() if row[0] + row[-1] >= cut and (row[0] > 1 or seen[s] < 100)]
-        out = frame(rows, ["source", "node", *STATS])
-        out["node"] = pd.array([r[1] for r in rows], dtype="Int64")
-        yield out
-
-    schema = "source string, node long, " + ", ".join(f"{s} long" for s in STATS)
-    return docs.mapInPandas(merge, schema).groupBy("source", "node").agg(*[F.sum(s).alias(s) for s in STATS])
+            extra = [()] * len(b) if whole else b["own"]
+            for source, title, text, more in zip(map(plain, b["source"]), b["title"], b["text"], extra):
+                size = sizes[source]
+                size[4] += 1
+                if not text:
+                    continue
+                mine = own.get(source, {})
+                more = set() if more is None else set(more)
+                found, lines = page_styles(read_page(text), plain(title), lambda k, mine=mine, more=more: k in mine or k in world or k in more, lambda k, mine=mine: bool(mine.get(k)))
+                styles.update((source, k, s) for k, s in found.items())
+                for r, n in enumerate(lines):
+                    size[r] += n
+            if len(styles) > 500_000:  # sums add up, so parts may be handed on
+                yield _style_rows(styles, {})
+                styles = Counter()
+        yield _style_rows(styles, sizes)
+
+    near = docs if whole else attach(docs, page_keys, _cold(frequent, "key"), F.col("key"))
+    made = near.mapInPandas(count, "source string, node long, style int, n long")
+    return written(made.groupBy("source", "node", "style").agg(F.sum("n").alias("n")), "style-tree")
+
+
+def _style_rows(styles: dict, sizes: dict) -> pd.DataFrame:
+    rows = [(s, k, style, n) for (s, k, style), n in styles.items()]
+    for s, size in sizes.items():
+        rows += [(s, None, PAGES if r == 4 else r, n) for r, n in enumerate(size)]
+    return frame({"source": pd.Series([r[0] for r in rows], dtype=object), "node": pd.array([r[1] for r in rows], dtype="Int64"), "style": [r[2] for r in rows], "n": [r[3] for r in rows]})
+
+
+def _cold(nodes: DataFrame, key: str) -> DataFrame:
+    """The rows of one source that are not broadcast where not all can be."""
+    return nodes.filter(~F.col("everywhere") & F.col(key).isNotNull() & (F.col("n") * HOT < F.col("docs"))).withColumn("key", F.col(key))
+
+
+def _held(nodes: DataFrame, limit: int, key: str, value: str | None = None):
+    """Whether all of `nodes` fit, and the broadcast ({source: {key: value}}, {key: value}): else the hot ones and those of every source only."""
+    whole = nodes.count() <= limit
+    rows = nodes if whole else nodes.filter(F.col("everywhere") | F.col(key).isNull() | (F.col("n") * HOT >= F.col("docs")))
+    own: dict = defaultdict(dict)
+    world: dict = {}
+    for r in rows.select("source", "everywhere", key, (F.col(value) if value else F.lit(0)).alias("v")).toLocalIterator():
+        (world if r[1] else own[r[0]])[r[2]] = r[3]
+    return whole, nodes.sparkSession.sparkContext.broadcast((dict(own), world))
+
+
+def lower_share(n: Column, of: Column) -> Column:
+    """The lower confidence bound of the share n / of."""
+    p, z = n / of, SURE * SURE
+    return (p + z / (2 * of) - SURE * F.sqrt(p * (1 - p) / of + z / (4 * of * of))) / (1 + z / of)
+
+
+def content_importance(n: Column, of: Column) -> Column:
+    """1 less the entropy of a content that n of so many pages show; 1 where it is on too few to matter."""
+    return F.least(F.lit(1.0), -F.log(F.least(F.lit(1.0), lower_share(n, of))) / F.log(F.lit(float(REFERENCE))))
+
+
+def importances(tree: DataFrame, *by: str) -> DataFrame:
+    """(by, node, n, docs, text, below, importance, box) of the elements of a tree (by, node, style, n, docs, and `leaf`, the importance of a style's own place, or null)."""
+    line, below = F.col("style") < ROW, F.pmod(F.col("style"), F.lit(5))
+    n = F.col("n")
+    part = lambda cond: F.sum(F.when(line & cond, n).otherwise(0))
+    each = tree.groupBy(*by, "node").agg(
+        part(F.lit(True)).alias("n"), F.max("docs").alias("docs"), F.sum("n").alias("shown"), F.count_if(line).alias("styles"),
+        F.sum(F.when(line, n * F.log(n))).alias("nlogn"), part(below > 0).alias("heads"), part(below == OWN_TEXT).alias("texts"),
+        part(below == REPEATS).alias("repeats"), part(below == ENTRIES).alias("entries"), F.sum(F.when(line, n * F.col("leaf"))).alias("leaves"),
+        F.sum(F.when(line & (below > 0), n * F.col("leaf"))).alias("head_leaves"),
+    ).filter("n > 0")
+    styles = (F.log("n") - F.col("nlogn") / F.col("n")) / F.log(F.lit(float(ROW)))
+    text = content_importance(F.col("n"), F.col("docs"))
+    # children of a style: the wording (or, in the tree of all sources, its place), and what is below it
+    leaves, heads = F.coalesce("leaves", text * F.col("n")), F.coalesce("head_leaves", text * F.col("heads"))
+    children = (leaves - heads + (heads + F.col("texts")) / 2) / F.col("n")
+    weight = F.pow(F.lit(GAMMA), F.col("styles"))
+    pointed = F.col("repeats") + F.col("entries")
+    box = F.when(pointed < (1 - IMPORTANCE) * F.col("n"), 0).when(F.col("repeats") >= F.col("entries"), CONTENTS_BOX).otherwise(LINK_BOX)
+    return each.select(*by, "node", "n", "docs", "shown", text.alias("text"), (F.col("texts") / F.col("n")).alias("below"), ((1 - weight) * styles + weight * children).alias("importance"), box.alias("leads"))
+
+
+def region_importances(tree: DataFrame, own: DataFrame) -> DataFrame:
+    """(source, everywhere, region, importance, n): of each source's regions and of all sources' together (source null, everywhere).
+
+    The mean importance of the lines' wordings; a line that is not frequent is the page's own.
+    """
+    region = F.when(F.col("style") < ROW, F.floor(F.col("style") / 5)).otherwise(F.col("style") - ROW).cast("int")
+    shown = tree.filter("node is not null").join(own.select(F.col("source").alias("s2"), F.col("node").alias("n2"), "text"), F.col("source").eqNullSafe(F.col("s2")) & (F.col("node") == F.col("n2")))
+    lost = shown.groupBy("source", region.alias("region")).agg(F.sum(F.col("n") * (1 - F.col("text"))).alias("lost"))
+    size = tree.filter(f"node is null and style <> {PAGES} and n > 0").select(F.col("source").alias("of"), F.col("style").alias("at"), "n")
+    each = size.join(lost, F.col("source").eqNullSafe(F.col("of")) & (F.col("region") == F.col("at")), "left").select(F.col("of").alias("source"), F.col("at").alias("region"), "n", F.coalesce("lost", F.lit(0.0)).alias("lost"))
+    world = each.groupBy("region").agg(F.sum("n").alias("all"), F.sum("lost").alias("gone"))
+    mean = F.greatest(F.lit(0.0), 1 - F.col("gone") / F.col("all"))
+    leaning = F.greatest(F.lit(0.0), 1 - (F.col("lost") + LEAN * (1 - mean)) / (F.col("n") + LEAN))
+    own_rows = each.join(F.broadcast(world), "region").select("source", F.lit(False).alias("everywhere"), "region", leaning.alias("importance"), "n")
+    return own_rows.unionByName(world.select(F.lit(None).cast("string").alias("source"), F.lit(True).alias("everywhere"), "region", mean.alias("importance"), F.col("all").alias("n")))
 
 
 def unimportant_nodes(tree: DataFrame) -> DataFrame:
-    """(source, node, leads): the nodes to remove; source null and `everywhere`: in every source. `leads`: the box of entries below that goes too."""
-    sizes = tree.filter("node is null").select(F.col("source").alias("of"), F.col("pages").alias("size"))
-    nodes = tree.filter("node is not null").join(sizes, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-    reference = F.least(F.greatest("size", F.lit(2)), F.lit(REFERENCE_PAGES))
-    importance = F.log(F.col("size") / F.col("pages")) / F.log(reference)
-    box = F.col("leads") >= 0.25 * F.col("pages")
-    kind = F.when(box, F.when(F.col("under") >= OUTSIDE_SHARE * F.col("pages"), CONTENTS_BOX).otherwise(LINK_BOX)).otherwise(0)
-    shown = (F.col("row") < 0.5 * F.col("pages")) & ((F.col("heading") < 0.25 * F.col("pages")) | box)
-    # a small source's nodes are too few to tell by their number alone: they must stand outside the article
-    outside = F.col("above") + F.col("below") + F.col("under") >= OUTSIDE_SHARE * F.col("pages")
-    sure = F.col("size") >= 150
-    own = nodes.filter((F.col("pages") >= LEAST_PAGES) & (importance <= IMPORTANCE) & shown & (sure | outside | box)).select("source", "node", kind.alias("leads"), F.lit(False).alias("everywhere"))
-    total = sizes.agg(F.sum("size").alias("all"))
-    world = nodes.groupBy("node").agg(*[F.sum(s).alias(s) for s in STATS]).join(F.broadcast(total))
-    world = world.filter((F.col("pages") >= F.greatest(F.lit(5.0), GLOBAL_SHARE * F.col("all"))) & shown & (outside | (box & (F.col("heading") > 0))))
-    return own.unionByName(world.select(F.lit(None).cast("string").alias("source"), "node", kind.alias("leads"), F.lit(True).alias("everywhere")))
+    """(source, everywhere, node, leads, n, docs): the elements to remove, and with node = -region - 1 and n null the regions.
+
+    `leads`: the box of entries below that goes too. In the tree of all sources an element's place is its content:
+    the importance of the regions it stands in, over its styles.
+    """
+    pages = tree.filter(f"node is null and style = {PAGES}").select(F.col("source").alias("of"), F.col("n").alias("docs"))
+    nodes = tree.filter("node is not null").join(pages, F.col("source").eqNullSafe(F.col("of"))).drop("of")
+    all_shown = importances(nodes.withColumn("leaf", F.lit(None).cast("double")), "source")
+    rows_too = nodes.groupBy("source", "node").agg(F.sum("n").alias("shown"), F.max("docs").alias("docs"))
+    regions = written(region_importances(tree, rows_too.select("source", "node", content_importance(F.col("shown"), F.col("docs")).alias("text"))), "regions")
+    noisy = (F.col("text") <= IMPORTANCE) & (F.col("importance") <= IMPORTANCE) & (F.col("below") <= BELOW) & (F.col("n") >= LEAST_PAGES)
+    own = all_shown.filter(noisy).select("source", F.lit(False).alias("everywhere"), "node", "leads", "n", "docs")
+    total = pages.agg(F.sum("docs").alias("docs"))
+    places = regions.filter("everywhere").select("region", F.col("importance").alias("leaf"))
+    region = F.when(F.col("style") < ROW, F.floor(F.col("style") / 5)).otherwise(F.col("style") - ROW).cast("int")
+    world = nodes.groupBy("node", "style").agg(F.sum("n").alias("n")).withColumn("region", region).join(F.broadcast(places), "region").join(F.broadcast(total))
+    far = importances(world)
+    common = (F.col("n") >= F.greatest(F.lit(5.0), GLOBAL_SHARE * F.col("docs"))) & (2 * F.col("n") > F.col("shown"))
+    everywhere = far.filter(common & (F.col("importance") <= WORLD_IMPORTANCE) & (F.col("below") <= BELOW)).select(F.lit(None).cast("string").alias("source"), F.lit(True).alias("everywhere"), "node", "leads", "n", "docs")
+    cut = regions.filter(F.col("importance") <= IMPORTANCE).select("source", "everywhere", (-F.col("region") - 1).cast("long").alias("node"), F.lit(0).alias("leads"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("docs"))
+    return own.unionByName(everywhere).unionByName(cut)
 
 
 @dataclass(slots=True)
@@ -222,7 +367,7 @@ class Reading:
     chrome: list[bool]
 
     named: bool  # the title was found by its mark or by the title column
-    after: list[int]  # places of labelled lines that follow the article
+    after: list[int]  # places of plain lines that follow the article
 
     def outside(self) -> list[int]:
         """Line numbers outside the article of a page that has one."""
@@ -233,57 +378,56 @@ class Reading:
 class Tree:
     """The unimportant nodes, looked up by source."""
 
-    def __init__(self, rows: list[tuple]) -> None:
-        self.own: dict[str | None, dict[int, int]] = defaultdict(dict)
-        self.world: dict[int, int] = {}
-        for source, node, leads, everywhere in rows:
-            (self.world if everywhere else self.own[source])[node] = leads
-        self.own = dict(self.own)
-
-    @classmethod
-    def over(cls, base: Tree, source: str | None, own: dict[int, int]) -> Tree:
-        """`base` with the nodes of one source."""
-        out = cls([])
-        out.world, out.own = base.world, {source: own}
-        return out
+    def __init__(self, own: dict | None = None, world: dict | None = None) -> None:
+        self.own: dict[str | None, dict[int, int]] = own or {}
+        self.world: dict[int, int] = world or {}
 
-    def _find(self, own: dict[int, int], key: int) -> int | None:
-        found = own.get(key)
-        return self.world.get(key) if found is None else found
-
-    def read(self, source: str | None, title: str | None, text: str) -> Reading:
-        """Which lines of the page are not its article's."""
-        own = self.own.get(source, {})
+    def read(self, source: str | None, title: str | None, text: str, more: dict[int, int] | None = None) -> Reading:
+        """Which lines of the page are not its article's. `more`: nodes of the source that are not in the tree."""
+        own, world = self.own.get(source, {}), self.world
         lines = read_page(text)
         n = len(lines)
         chrome, leads = [False] * n, [0] * n
+
+        def find(key: int) -> int | None:
+            hit = own.get(key)
+            if hit is None and more:
+                hit = more.get(key)
+            return world.get(key) if hit is None else hit
+
         for i, x in enumerate(lines):
-            if x.kind in (TABLE, QUOTE):
+            if x.kind in (TABLE, QUOTE, LIST):
                 continue
-            hit = self._find(own, x.key) if x.key else None
-            if hit is None and x.kind in (PLAIN, MENU) and (label := _label_key(x.content)) is not None:
-                hit = self._find(own, label)
-                hit = None if hit is None else 0
+            hit = find(x.key)
+            if hit is None and x.label is not None and x.kind != HEADING and find(x.label) is not None:
+                hit = 0
             if hit is not None:
-                chrome[i], leads[i] = x.kind != LIST, hit
+                chrome[i], leads[i] = True, hit
         at = title_place(lines, title)
         named, after = at is not None, []
         if at is None:  # the first line that is neither unimportant nor a menu, breadcrumb or list entry
             at = next((i for i, x in enumerate(lines) if not chrome[i] and x.kind not in (MENU, CRUMB, LIST, ARROW)), None)
         if at is not None:
-            chrome[:at] = [True] * at
+            if self._cut(own, ABOVE):
+                chrome[:at] = [True] * at
             chrome[at] = False
             self._boxes(lines, chrome, leads, at)
-            last = max((i for i, x in enumerate(lines) if not chrome[i] and (_articlelike(x) or len(x.content) >= LONG or x.content[-1] in ".!?")), default=at)
-            for i in range(max(last, at) + 1, n):  # links to other pages that follow the article
-                if lines[i].kind == ARROW:
-                    chrome[i] = True
-                elif not chrome[i] and lines[i].kind == PLAIN and _LABEL.match(lines[i].content):
-                    after.append(i)
+            if self._cut(own, TAIL):
+                last = max((i for i, x in enumerate(lines) if not chrome[i] and (_articlelike(x) or x.content[-1] in ".!?")), default=at)
+                for i in range(max(last, at) + 1, n):
+                    if lines[i].kind == ARROW:
+                        chrome[i] = True
+                    elif not chrome[i] and lines[i].label is not None:
+                        after.append(i)
         return Reading(lines, at, chrome, named, after)
 
+    def _cut(self, own: dict[int, int], region: int) -> bool:
+        known = any(-r - 1 in own for r in (ABOVE, UNDER, TAIL, BODY))
+        return -region - 1 in own or (not known and -region - 1 in self.world)
+
     @staticmethod
     def _boxes(lines: list[Line], chrome: list[bool], leads: list[int], at: int) -> None:
+        """The entries that hang below an unimportant head."""
         later = Counter(x.content for x in lines)
         i, n = at + 1, len(lines)
         while i < n:
@@ -292,14 +436,14 @@ class Tree:
                 continue
             contents = leads[i] == CONTENTS_BOX
             j = i + 1
-            if j < n and lines[j].no > lines[i].no + (1 if lines[j].kind not in (LIST, ARROW) else 2):
+            if j < n and lines[j].no > lines[i].no + 1:
                 i = j
                 continue
             kind = lines[j].kind if j < n else None
-            while j < n and not chrome[j] and lines[j].kind == kind and (j == i + 1 or lines[j].no == lines[j - 1].no + 1):
+            while j < n and not chrome[j] and lines[j].kind == kind and lines[j].no == lines[j - 1].no + 1:
                 x = lines[j]
                 entry = x.kind in (LIST, ARROW) or (later[x.content] > 1 if contents else x.kind == PLAIN)
-                if not entry or len(x.content) >= 1.5 * LONG or (x.content[-1] == "." and x.kind == PLAIN):
+                if not entry or (x.content[-1] == "." and x.kind == PLAIN):
                     break
                 if contents and x.kind == PLAIN:
                     later[x.content] -= 1
@@ -309,8 +453,8 @@ class Tree:
 
 
 def build_tree(docs: DataFrame) -> DataFrame:
-    """The nodes to remove, written; docs: source, title, text."""
-    return written(unimportant_nodes(written(merge_pages(docs), "tree")), "nodes")
+    """The nodes to remove, written; docs: doc_id, source, title, text."""
+    return written(unimportant_nodes(merge_pages(docs)), "nodes")
 
 
 def page_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", title_col: str = "title") -> DataFrame:
@@ -319,40 +463,27 @@ def page_columns(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 class PageReader:
-    """Reads pages with the style tree: broadcast if its nodes are few enough, else each page gets its source's nodes by a join."""
+    """Reads pages with the style tree: broadcast if its nodes are few enough, else all but the hot ones come to their pages by a join."""
 
     def __init__(self, nodes: DataFrame, limit: int = BROADCAST_NODES) -> None:
         self.nodes = nodes
-        self.whole = nodes.count() <= limit
-        held = nodes if self.whole else nodes.filter("everywhere")  # the latter: at most a page's nodes / GLOBAL_SHARE
-        rows = [tuple(r) for r in held.select("source", "node", "leads", "everywhere").toLocalIterator()]
-        self.tree = nodes.sparkSession.sparkContext.broadcast(Tree(rows))
+        self.whole, self.held = _held(nodes, limit, "node", "leads")
 
     def map(self, docs: DataFrame, each: Callable, schema: str) -> DataFrame:
         """docs.mapInPandas: each((doc_id, source, title, text, Reading) of a batch) gives a DataFrame. Null and empty texts are skipped."""
-        tree, whole = self.tree, self.whole
+        held, whole = self.held, self.whole
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            tree = Tree(*held.value)
             for b in batches:
-                own = [None] * len(b) if whole else b["own_nodes"]
-                yield each(_readings(tree.value, b, own))
+                yield each(_readings(tree, b, [None] * len(b) if whole else b["own"]))
 
         if not whole:
-            per = self.nodes.filter("not everywhere").groupBy(F.col("source").alias("own")).agg(F.collect_list(F.struct("node", "leads")).alias("own_nodes"))
-            docs = docs.join(per, F.col("source").eqNullSafe(F.col("own")), "left").drop("own")
+            docs = attach(docs, page_keys, _cold(self.nodes, "node"), F.struct(F.col("key").alias("node"), "leads"))
         return docs.mapInPandas(run, schema)
 
 
 def _readings(tree: Tree, b: pd.DataFrame, own: Iterable) -> Iterator[tuple]:
-    for doc, source, title, text, nodes in zip(b["doc_id"].tolist(), b["source"], b["title"], b["text"], own):
-        if not text:
-            continue
-        source, title = source if isinstance(source, str) else None, title if isinstance(title, str) else None
-        if nodes is not None:
-            tree = Tree.over(tree, source, {x["node"]: x["leads"] for x in nodes})
-        yield doc, source, title, text, tree.read(source, title, text)
-
-
-def importance(pages: int, size: int) -> float:
-    """The entropy-based importance of a node on `pages` of a source's `size` pages."""
-    return math.log(size / pages) / math.log(min(max(size, 2), REFERENCE_PAGES))
+    for doc, source, title, text, nodes in zip(b["doc_id"].tolist(), map(plain, b["source"]), map(plain, b["title"]), b["text"], own):
+        if text:
+            yield doc, source, title, text, tree.read(source, title, text, None if nodes is None else {x["node"]: x["leads"] for x in nodes})
