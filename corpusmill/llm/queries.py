@@ -9,10 +9,10 @@ from corpusmill.llm.boilerplate import boilerplate_lines, main_text
 from corpusmill.llm.copies import count_copies
 from corpusmill.llm.leaks import WORDS, find_leaks
 from corpusmill.llm.mixing import mix_sources, public_tokenizer
-from corpusmill.llm.pages import PageReader, build_tree, page_columns
+from corpusmill.llm.pages import page_columns
 from corpusmill.llm.reading import BANDS, reading_bands
 from corpusmill.llm.repeated import remove_repeated, repeated_occurrences
-from corpusmill.llm.residue import residue_pages, training_sample, validate_unseen, without_residue
+from corpusmill.llm.residue import models_of, residue_pages, training_sample, validate_unseen, without_residue
 from corpusmill.llm.splitting import LIMIT, column_ranges, piece_plan, split_oversized
 from corpusmill.tables import table
 
@@ -61,7 +61,8 @@ def p6_corpus(spark: SparkSession, d: str) -> DataFrame:
 def p6_unseen_sources(spark: SparkSession, d: str) -> DataFrame:
     """How the classifier does on sources that it was not trained on."""
     docs = page_columns(_pages(spark, d))
-    return spark.createDataFrame(validate_unseen(training_sample(docs, PageReader(build_tree(docs)))), "fold int, n_units int, hits int, misses int, false_alarms int")
+    found = validate_unseen(training_sample(docs, models_of(docs).reader()))
+    return spark.createDataFrame(found, "fold int, n_units int, hits int, misses int, false_alarms int, unnamed int, unnamed_found int")
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:

@@ -4,14 +4,14 @@ A regularised linear classifier scores the sentences that are left of a page wit
 n-grams of the sentence and of the title, and the lengths of sentence and page. It is trained on weak labels: status lines and
 phrases of the four sorts label a page when they cover nearly all or hardly any of what is left of it; sentences that match
 no phrase are labelled with their page, so the classifier learns sorts of wording that no phrase names. A page is a case
-if residue sentences outweigh article sentences and none is clearly an article's.
+if residue sentences outweigh article sentences and none is clearly an article's. The phrases label, they do not decide.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import lru_cache
 from typing import Any
 
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
 from corpusmill.llm.pages import PageReader, Reading, build_tree, page_columns
+from corpusmill.storage import fingerprint, written
 
 # Weak labels. Phrases of errors, script demands, template marks and filler, in lower case.
 PHRASES = """not found; no encontrad; introuvable; access denied; acceso denegado; accès refusé; forbidden; bad gateway; bad request
@@ -48,9 +49,11 @@ def _automaton():
     return found
 
 
-def names_residue(unit: str) -> bool:
-    """Whether a line or sentence (lower case) has a phrase of the four sorts or is a short status line."""
-    return next(_automaton().iter(unit), None) is not None or (len(unit) < 60 and STATUS.match(unit) is not None)
+def names_residue(unit: str, without: int | None = None) -> bool:
+    """Whether a line or sentence (lower case) has a phrase of the four sorts or is a status line. `without`: a fold of phrases not to look at."""
+    if STATUS.match(unit) is not None and unit.count(" ") < 10:
+        return True
+    return any(without is None or xxhash.xxh32_intdigest(phrase) % FOLDS != without for _, phrase in _automaton().iter(unit))
 
 
 _SENTENCE = re.compile(r"(?<=[.!?]) +")
@@ -68,8 +71,10 @@ BUCKETS = 1 << 16
 TRAIN_DOCUMENTS = 10_000
 UNITS_A_PAGE = 6
 L2, ROUNDS, RATE = 2e-4, 100, 6.0
+#: Folds of sources and of phrases for validation.
+FOLDS = 4
 COVERED, UNCOVERED = 0.75, 0.15
-#: A line this far on the article's side settles that the page has an article.
+#: A line this far on the article's side settles that the page has an article; so far on the other, chrome counts as residue.
 CLEAR = -1.0
 
 _memo: dict = {}
@@ -108,32 +113,39 @@ def unit_features(unit: str, title: str | None, titled: bool | None, page_words:
 
 @dataclass(slots=True)
 class Body:
-    """What is left of a page: its lines without chrome and title."""
+    """What is left of a page: its lines without chrome and title, and apart the chrome lines below the title."""
 
     lines: list[str]
     title: str | None
     titled: bool | None
     words: int
+    rest: list[str] = field(default_factory=list)
 
 
 def body_of(page: Reading, title: str | None) -> Body:
     """The line taken as the title counts as one where it is marked or named as such, or where no name is known."""
     place = page.title if page.named or not title else None
-    # on a small site the same message on several pages looks like chrome: below the title it counts all the same
     low = -1 if page.title is None else page.title
-    kept = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if i != place and (not c or (i > low and names_residue(x.content)))]
+    kept = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if i != place and not c]
+    rest = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if c and i > low and i != place]
     shown = page.lines[place].content if place is not None else None
     if not kept and shown is not None:
         kept, shown = [shown], None
     named = shown == " ".join(title.lower().split()) if title else None
-    return Body(kept, shown, named, sum(x.count(" ") + 1 for x in kept))
+    return Body(kept, shown, named, sum(x.count(" ") + 1 for x in kept), rest)
 
 
-def weak_label(body: Body) -> int | None:
-    """1: hardly anything but residue; 0: hardly any; None: no label."""
+def labelled(body: Body) -> Body:
+    """The body with the chrome lines that phrases name: what the weak label is of."""
+    named = [x for x in body.rest if names_residue(x)]
+    return Body(body.lines + named, body.title, body.titled, body.words + sum(x.count(" ") + 1 for x in named), [x for x in body.rest if x not in named]) if named else body
+
+
+def weak_label(body: Body, without: int | None = None) -> int | None:
+    """1: hardly anything but residue; 0: hardly any; None: no label. `without`: a fold of phrases not to look at."""
     if not body.words:
         return None
-    covered = sum(u.count(" ") + 1 for x in body.lines for u in units_of(x) if names_residue(u)) / body.words
+    covered = sum(u.count(" ") + 1 for x in body.lines for u in units_of(x) if names_residue(u, without)) / body.words
     return 1 if covered >= COVERED else 0 if covered <= UNCOVERED and body.words >= 8 else None
 
 
@@ -147,16 +159,23 @@ class Classifier:
         return float(self.weights[features].sum() / np.sqrt(len(features)) + self.bias)
 
     def is_residue(self, body: Body) -> bool:
-        """Whether the page is a case. Looks no further once a sentence settles that it has an article."""
+        """Whether the page is a case. Looks no further once a sentence settles that it has an article.
+
+        On a small site the same message on several pages looks like chrome, so chrome below the title that scores
+        clearly as residue counts too.
+        """
         residue = article = 0
         for u in dict.fromkeys(u for x in body.lines for u in units_of(x)):
             s = self.score(unit_features(u, body.title, body.titled, body.words, len(body.lines)))
-            if s < CLEAR and not names_residue(u):
+            if s < CLEAR:
                 return False
             if s > 0:
                 residue += u.count(" ") + 1
             else:
                 article += u.count(" ") + 1
+        for u in dict.fromkeys(u for x in body.rest for u in units_of(x)):
+            if self.score(unit_features(u, body.title, body.titled, body.words, len(body.lines))) > -CLEAR:
+                residue += u.count(" ") + 1
         return residue > article
 
 
@@ -189,19 +208,24 @@ def training_units(body: Body, label: int) -> list[np.ndarray]:
 
 
 def training_sample(docs: DataFrame, reader: PageReader, most: int = TRAIN_DOCUMENTS) -> pd.DataFrame:
-    """(source, label, features) of the sampled documents' sentences; docs: see page_columns."""
+    """(doc_id, source, label, without, features): the sentences of the sampled labelled documents; docs: see page_columns.
+
+    without: the label when a fold of phrases is not looked at, for each fold (-1: none).
+    """
     every = max(1, -(-docs.select("doc_id").count() // most))
 
     def label(pages: Iterator) -> pd.DataFrame:
         rows = []
-        for _, source, title, _, page in pages:
-            body = body_of(page, title)
+        for doc, source, title, _, page in pages:
+            body = labelled(body_of(page, title))
             if (y := weak_label(body)) is not None:
-                rows += [(source, y, f) for f in training_units(body, y)]
-        return frame(rows, ["source", "label", "features"])
+                other = [y if y == 0 else -1 if (z := weak_label(body, k)) is None else z for k in range(FOLDS)]
+                rows += [(doc, source, y, other, f) for f in training_units(body, y)]
+        return frame(rows, ["doc_id", "source", "label", "without", "features"])
 
     sample = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0)
-    return reader.map(sample, label, "source string, label int, features array<int>").toPandas()
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return reader.map(sample, label, f"doc_id {kind}, source string, label int, without array<int>, features array<int>").toPandas()
 
 
 def _balanced(y: np.ndarray) -> np.ndarray:
@@ -214,27 +238,79 @@ def train(sample: pd.DataFrame) -> Classifier:
     return fit([np.asarray(x, dtype=np.int32) for x in sample["features"]], y, _balanced(y))
 
 
-def validate_unseen(sample: pd.DataFrame, folds: int = 4) -> pd.DataFrame:
-    """Per fold of sources: the classifier of the other sources against the weak labels of these (sentences, hits, misses, false alarms)."""
+def validate_unseen(sample: pd.DataFrame, folds: int = FOLDS) -> pd.DataFrame:
+    """Per fold the classifier of the other sources and the other phrases, on this fold's sources.
+
+    n_units, hits, misses, false_alarms: sentences against their weak labels. unnamed, unnamed_found: pages that are
+    residue by the held-out phrases only, so neither their source nor what names them was in the training, and how many
+    of them have more words of residue than of article by the classifier.
+    """
     fold = np.array([xxhash.xxh32_intdigest(str(s)) % folds for s in sample["source"]], dtype=int)
     y, x = sample["label"].to_numpy(dtype=float), [np.asarray(v, dtype=np.int32) for v in sample["features"]]
     out = []
     for k in range(folds):
-        seen, own = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
+        own = np.flatnonzero(fold == k)
+        other = np.array([w[k] for w in sample["without"]]) if len(sample) else np.zeros(0)
+        seen = np.flatnonzero((fold != k) & (other >= 0))
         if not len(seen) or not len(own):
             continue
-        model = fit([x[i] for i in seen], y[seen], _balanced(y[seen]))
+        model = fit([x[i] for i in seen], other[seen].astype(float), _balanced(other[seen]))
         p = np.array([model.score(x[i]) > 0 for i in own])
         t = y[own] == 1
-        out.append((k, len(own), int((p & t).sum()), int((~p & t).sum()), int((p & ~t).sum())))
-    return frame(out, ["fold", "n_units", "hits", "misses", "false_alarms"])
+        pages = pd.DataFrame({"doc": sample["doc_id"].to_numpy()[own], "hit": p, "unnamed": t & (other[own] != 1)}).groupby("doc").agg(hit=("hit", "mean"), unnamed=("unnamed", "max"))
+        held = pages[pages["unnamed"]]
+        out.append((k, len(own), int((p & t).sum()), int((~p & t).sum()), int((p & ~t).sum()), len(held), int((held["hit"] > 0.5).sum())))
+    return frame(out, ["fold", "n_units", "hits", "misses", "false_alarms", "unnamed", "unnamed_found"])
+
+
+@dataclass
+class PageModels:
+    """What pages are read with: the style tree's nodes and the classifier, written to the shared folder as tables."""
+
+    nodes: DataFrame
+    weights: DataFrame
+
+    def reader(self) -> PageReader:
+        return PageReader(self.nodes)
+
+    def classifier(self) -> Classifier:
+        w, bias = np.zeros(BUCKETS), -1.0
+        for r in self.weights.toLocalIterator():
+            if r["bucket"] < 0:
+                bias = r["weight"]
+            else:
+                w[r["bucket"]] = r["weight"]
+        return Classifier(w, bias)
+
+
+def build_models(docs: DataFrame) -> PageModels:
+    """One tree and one classifier for a corpus; docs: see page_columns."""
+    nodes = build_tree(docs)
+    model = train(training_sample(docs, PageReader(nodes)))
+    rows = [(-1, model.bias), *((int(i), float(model.weights[i])) for i in np.flatnonzero(model.weights))]
+    return PageModels(nodes, written(docs.sparkSession.createDataFrame(rows, "bucket int, weight double"), "weights"))
+
+
+_models: dict[tuple, PageModels] = {}
+
+
+def models_of(docs: DataFrame) -> PageModels:
+    """The models of a corpus, built once a session and read again by each operator that needs them.
+
+    A corpus is known by its plan and its files' paths, lengths and times; one without files is built for anew.
+    """
+    known = fingerprint(docs)
+    if known is None:
+        return build_models(docs)
+    if known not in _models:
+        _models[known] = build_models(docs)
+    return _models[known]
 
 
 def learn(docs: DataFrame) -> tuple[PageReader, Any]:
     """The style tree's reader and the broadcast classifier for a corpus; docs: see page_columns."""
-    reader = PageReader(build_tree(docs))
-    model = train(training_sample(docs, reader))
-    return reader, docs.sparkSession.sparkContext.broadcast(model)
+    models = models_of(docs)
+    return models.reader(), docs.sparkSession.sparkContext.broadcast(models.classifier())
 
 
 def residue_pages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", title_col: str = "title") -> DataFrame:

@@ -153,7 +153,7 @@ def test_parts():
     rows = [np.array([1, 2]), np.array([3, 4])] * 20
     m = fit(rows, np.array([1.0, 0.0] * 20), np.ones(40))
     assert m.score(rows[0]) > 0 > m.score(rows[1]) and fit([], np.zeros(0), np.zeros(0)).bias < 0
-    assert len(validate_unseen(pd.DataFrame({"source": [], "label": [], "features": []}))) == 0
+    assert len(validate_unseen(pd.DataFrame({"doc_id": [], "source": [], "label": [], "without": [], "features": []}))) == 0
     counts = pd.DataFrame({"word": ["a", "a", "b", "c"], "band": [1, 2, 4, 1], "n": [5.0, 5.0, 9.0, 1.0]})
     g = grade_words(counts)
     assert 1 < g["a"] < 2.2 and g["b"] > 3 and "c" not in g
