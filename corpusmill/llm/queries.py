@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.boilerplate import boilerplate_lines, main_text
@@ -13,7 +13,7 @@ from corpusmill.llm.pages import page_columns
 from corpusmill.llm.reading import BANDS, reading_bands
 from corpusmill.llm.repeated import remove_repeated, repeated_occurrences
 from corpusmill.llm.residue import models_of, residue_pages, training_sample, validate_unseen, without_residue
-from corpusmill.llm.splitting import LIMIT, column_ranges, piece_plan, split_oversized
+from corpusmill.llm.splitting import LIMIT, OVERLAP, column_ranges, piece_plan, split_oversized
 from corpusmill.tables import table
 
 
@@ -26,6 +26,15 @@ def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
     return split_oversized(table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def p2_rebuilt(spark: SparkSession, d: str) -> DataFrame:
+    """The texts put together again from their pieces, without what pieces repeat: by length and digest."""
+    overlap = F.greatest(F.lit(0), F.coalesce(F.lag("end").over(Window.partitionBy("doc_id").orderBy("piece_no")), F.lit(0)) - F.col("begin"))
+    own = p2_pieces(spark, d).select("doc_id", "piece_no", (F.length("text") <= LIMIT).alias("within"), (overlap <= OVERLAP).alias("near"), "text", overlap.alias("overlap"))
+    own = own.withColumn("text", F.expr("substring(text, int(overlap) + 1)"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("piece_no", "text"))), lambda x: x["text"]), "")
+    return own.groupBy("doc_id").agg(F.length(whole).cast("long").alias("n_chars"), F.md5(whole).alias("digest"), F.bool_and(F.col("within") & F.col("near")).alias("within_limits"))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
     return repeated_occurrences(table(spark, d, "documents", "doc_id", "source", "text"), "doc_id", "text", "source")
 
@@ -146,6 +155,7 @@ ip AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS p FROM (SELEC
 ORACLES = {
     "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN ip USING (p)",
     "p2_found": "SELECT doc_id FROM documents WHERE length(text) > 6000",
+    "p2_rebuilt": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest, true AS within_limits FROM documents WHERE length(text) > 6000",
     "p3_found": _LINES + "SELECT doc_id, line_no FROM lines JOIN bad ON lines.source IS NOT DISTINCT FROM bad.source AND lines.line = bad.line",
     "p3_documents": _LINES
     + """, gone AS (SELECT doc_id, line_no FROM lines JOIN bad ON lines.source IS NOT DISTINCT FROM bad.source AND lines.line = bad.line),

@@ -75,14 +75,30 @@ def test_files_by_byte_ranges(spark, tmp_path):
     r = random.Random(2)
     text = text_of(r, 7000).replace("\r\n", "\n")
     (tmp_path / "big.txt").write_text(text, encoding="utf-8")
-    ranges = S.file_ranges(spark, [str(tmp_path / "big.txt")], 512)
-    total = ranges.agg(F.sum("n")).collect()[0][0]
-    assert total == len(text)
-    plan = S.piece_plan(ranges, 900, 100)
-    got = [(x.begin, x.end, x.text) for x in S.emit_pieces(ranges, plan, 512).orderBy("begin").collect()]
-    check(text, got, 900, 100)
-    df = spark.createDataFrame([("d", text)], "doc_id string, text string")
-    assert got == pieces_of(df, limit=900, overlap=100)["d"]
+    (tmp_path / "small.txt").write_text("ñ" * 899, encoding="utf-8")
+    paths = [str(tmp_path / "big.txt"), "file://" + str(tmp_path / "small.txt")]
+    for size in (512, 2048):
+        assert S.file_ranges(spark, paths[:1], size).agg(F.sum("n")).collect()[0][0] == len(text)
+        found = S.split_files(spark, paths, 900, 100, size).orderBy("begin").collect()
+        assert {x.doc for x in found} == {paths[0]}
+        got = [(x.begin, x.end, x.text) for x in found]
+        check(text, got, 900, 100)
+        df = spark.createDataFrame([("d", text)], "doc_id string, text string")
+        assert got == pieces_of(df, limit=900, overlap=100)["d"]
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    import time
+
+    unit = "".join("Sentence number %d is here. " % i for i in range(300))
+    took = {}
+    for mb in (1, 2, 16):
+        df = spark.createDataFrame([(1, unit * (mb * 1_000_000 // len(unit)))], "doc_id long, text string")
+        t = time.perf_counter()
+        rows = S.column_ranges(df, "doc_id", "text", S.LIMIT).agg(F.sum("n"), F.max("total")).collect()[0]
+        took[mb] = time.perf_counter() - t
+        assert rows[0] == rows[1] == len(unit) * (mb * 1_000_000 // len(unit))
+    assert took[16] < 16 * took[2]
 
 
 def test_empty_and_wrong_parameters(spark):
