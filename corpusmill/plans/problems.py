@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from corpusmill.operators.packed import split_packed_links
+from corpusmill.operators.packed import is_link, split_packed, split_packed_links
 from corpusmill.operators.snapshots import diff_snapshots
 from corpusmill.tables import table
 
@@ -16,9 +17,19 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_dialects(spark: SparkSession, d: str) -> DataFrame:
-    """How many fields each dialect parsed."""
-    links = split_packed_links(table(spark, d, "index_quotes_26"), "quote_id", LINK_FIELDS)
-    return links.filter("pos = 1").groupBy("field_name", "dialect").count().withColumnRenamed("count", "n_fields")
+    """How many fields each dialect parsed, their values and links, and how many values still hold a link beside other text."""
+    values = split_packed(table(spark, d, "index_quotes_26"), "quote_id", LINK_FIELDS)
+    link = F.udf(is_link, "boolean")(F.col("value"))
+    each = values.withColumn("scheme", F.lower("value").rlike("https?://")).withColumn("link", F.when(F.col("scheme"), link).otherwise(False))
+    return each.groupBy("field_name", "dialect").agg(
+        F.count_if(F.col("pos") == 1).alias("n_fields"), F.count("*").alias("n_values"), F.count_if("link").alias("n_links"), F.count_if(F.col("scheme") & ~F.col("link")).alias("n_unresolved")
+    )
+
+
+def p1_links(spark: SparkSession, d: str) -> DataFrame:
+    """The links of each field and whether any was left inside a value."""
+    each = p1_dialects(spark, d)
+    return each.groupBy("field_name").agg(F.sum("n_links").alias("n_links"), F.sum("n_unresolved").alias("n_unresolved"))
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
@@ -30,7 +41,7 @@ def p5_counts(spark: SparkSession, d: str) -> DataFrame:
     return p5_found(spark, d).groupBy("snapshot_no", "change_kind").count().withColumnRenamed("count", "n_urls")
 
 
-QUERIES = {"p1_found": p1_found, "p1_dialects": p1_dialects, "p5_found": p5_found, "p5_counts": p5_counts}
+QUERIES = {"p1_found": p1_found, "p1_dialects": p1_dialects, "p1_links": p1_links, "p5_found": p5_found, "p5_counts": p5_counts}
 
 _P5 = """
 WITH clean AS (
@@ -52,16 +63,21 @@ found AS (
   FROM n FULL JOIN o ON n.new_no = o.new_no AND n.url = o.url)
 """
 
-ORACLES = {
-    "p1_found": r"""
+_P1 = r"""
 WITH fields AS (
   SELECT quote_id, 'link_to_ideal_answer' AS field_name, link_to_ideal_answer AS f FROM index_quotes_26
   UNION ALL SELECT quote_id, 'link_2', link_2 FROM index_quotes_26
   UNION ALL SELECT quote_id, 'link_3', link_3 FROM index_quotes_26),
 parted AS (SELECT quote_id, field_name, regexp_replace(f, '[,;]+([ ''"<\[]*https?://)', ' \1', 'gi') AS f FROM fields),
 lists AS (SELECT quote_id, field_name, regexp_extract_all(f, '(?i)https?://[^\s\x{2028}\x{A0}<>"''\[\]()|\\`{}]+') AS links FROM parted)
+found AS (
 SELECT quote_id, field_name, CAST(i AS INTEGER) AS pos, regexp_replace(links[i], '[,;.:!]+$', '') AS link
-FROM (SELECT quote_id, field_name, links, unnest(range(1, len(links) + 1)) AS i FROM lists)""",
+FROM (SELECT quote_id, field_name, links, unnest(range(1, len(links) + 1)) AS i FROM lists))
+"""
+
+ORACLES = {
+    "p1_found": _P1 + "SELECT quote_id, field_name, pos, link FROM found",
+    "p1_links": _P1 + "SELECT field_name, count(*) AS n_links, CAST(0 AS BIGINT) AS n_unresolved FROM found GROUP BY field_name",
     "p5_found": _P5 + "SELECT snapshot_no, url, change_kind FROM found WHERE change_kind IS NOT NULL",
     "p5_counts": _P5 + "SELECT snapshot_no, change_kind, count(*) AS n_urls FROM found WHERE change_kind IS NOT NULL GROUP BY ALL",
 }
