@@ -81,6 +81,7 @@ WRAPPINGS: dict[str, tuple[str, str, str]] = {
 #: Besides: an identifier with a label before it or a note after it.
 ABOUT = "label and note"
 _WRAPPINGS = {k: (need, re.compile(p, re.S), marks) for k, (need, p, marks) in WRAPPINGS.items()}
+_APOSTROPHE = re.compile(r"(?<![^\W_])'|'(?![^\W_])")
 _TOKENS = re.compile(r"[A-Za-zÀ-ɏ]+|\d+|\s+|.", re.S)
 SHAPE_CHARS, SHAPES = 20_000, 50_000
 
@@ -184,6 +185,7 @@ def value_bits(value: str, bits: dict[str, float], unseen: float) -> float:
 def cheapest_wrapping(part: str, bits: dict[str, float], unseen: float) -> tuple[float, str]:
     """The bits of the part's value and of what its cheapest wrapping takes off (the wrapping's own marks at one bit each), and that wrapping."""
     best = (math.inf, "bare")
+    cut = NAMING["open"] * (part.count('"') % 2 + len(_APOSTROPHE.findall(part)) % 2)  # through a quotation
     for w in (*WRAPPINGS, ABOUT):
         if w != ABOUT and _WRAPPINGS[w][0] not in part:
             continue
@@ -191,10 +193,10 @@ def cheapest_wrapping(part: str, bits: dict[str, float], unseen: float) -> tuple
         if got is None or not got[0]:
             continue
         marks = "" if w == ABOUT else _WRAPPINGS[w][2]
-        cost = value_bits(got[0], bits, unseen) + (0 if w == "bare" else NAMING["wrapping"] + (w == ABOUT) + NAMING["open"] * w.startswith("open"))
+        cost = value_bits(got[0], bits, unseen) + (0 if w == "bare" else NAMING["wrapping"] + (w == ABOUT))
         cost += sum(1.0 if t in marks else OFF_BITS for t in _TOKENS.findall(got[1]) if not t.isspace())
-        if cost < best[0]:
-            best = (cost, w)
+        if cost + cut < best[0]:
+            best = (cost + cut, w)
     return best
 
 
