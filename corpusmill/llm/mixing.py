@@ -3,10 +3,11 @@
 Each document belongs to the domains (sources) with weights that add up to 1: a document whose source is known belongs to
 it; one whose source is not known gets the posteriors of a classifier trained on the table of labelled documents. Rates
 r >= 0 of the documents, at most their domains' largest number of repeats, are fitted so that the expected tokens of each
-domain meet its target: projected gradient descent on the least squares of tokens, relative to the domain's size. A pass
-adds up the domains' tokens in a distributed aggregation; the driver keeps one gradient of a number per domain and pass,
-from which every task replays its documents' rates, so no state per document is kept. Rates are turned into whole repeats
-by a hash of the document's id against a cut per domain, which is searched by histograms until the tokens fit.
+domain meet its target: projected gradient descent on the least squares of tokens, relative to the domain's size. The rates stand in a table in the shared
+folder; a pass writes them anew and adds up the domains' tokens in a distributed aggregation, and the driver keeps a
+number per domain. Where every document belongs to one domain the first pass is the solution and the only one. Rates are
+turned into whole repeats by a hash of the document's id against a cut per domain, which is searched by histograms until
+the tokens fit.
 """
 
 from __future__ import annotations
@@ -18,22 +19,25 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
-from corpusmill.storage import written
+from corpusmill.storage import drop, written
 from corpusmill.tables import spread
 
-#: Posteriors: at most about so many labelled documents train, on so many hashed words.
+#: Posteriors: at most about so many labelled documents train, on so many hashed words, fewer where the table of domains and
+#: words would have more than so many cells (floats, held by the driver and every task).
 TRAIN_DOCUMENTS = 20_000
 BUCKETS = 1 << 15
+CELLS = 1 << 24
+#: Posteriors below this are rounding.
+LEAST_POSTERIOR = 1e-9
 SMOOTHING = 0.1
 #: Domains fitted at once: the targets' table, its gradients and posteriors are held by every task.
 MOST_DOMAINS = 10_000
 PASSES, CLOSE = 25, 1e-7
 GRID = 4096
-FILLS = 4
 CHUNK_MEMO = 300_000
 
 
@@ -89,31 +93,38 @@ class WordCounter:
         return len(text.split())
 
 
-def public_tokenizer(name: str = "byte_bpe_50k.tiktoken", folder: str | None = None) -> TokenCounter:
-    """The counter for a vocabulary file in the folder of public tokenizers (by default where its package lies)."""
-    import os
+#: Fixed value: how the vocabulary's makers part texts into words.
+BYTE_BPE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
 
-    import public_tokenizers as P
+def public_tokenizer(name: str = "byte_bpe_50k.tiktoken", folder: str = "/opt/tokenizers") -> TokenCounter:
+    """The counter for a byte-level vocabulary file of ranks; `folder` must be there on every executor."""
+    import os
 
-    return TokenCounter(os.path.join(folder, name) if folder else P.path(name), P.PATTERN)
+    return TokenCounter(os.path.join(folder, name), BYTE_BPE_PATTERN)
 
 
-def _word_buckets(text: str) -> np.ndarray:
+def _word_buckets(text: str, buckets: int = BUCKETS) -> np.ndarray:
     words = set(text.lower().split())
-    return np.unique(np.fromiter((xxhash.xxh32_intdigest(w) % BUCKETS for w in words), dtype=np.int64, count=len(words)))
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(w) % buckets for w in words), dtype=np.int64, count=len(words)))
+
+
+def buckets_for(domains: int) -> int:
+    """Hashed words for so many domains."""
+    return max(64, min(BUCKETS, 1 << (CELLS // max(1, domains)).bit_length() - 1))
 
 
 class DomainClassifier:
     """Naive Bayes over the presence of hashed words, counted in one distributed pass over the labelled sample."""
 
     def __init__(self, domains: list[str], docs: np.ndarray, uses: np.ndarray) -> None:
-        self.domains = domains
+        self.domains, self.buckets = domains, uses.shape[1]
         seen = max(1, int((uses.sum(axis=0) > 0).sum()))
         self.logs = np.log((uses + SMOOTHING) / (uses.sum(axis=1, keepdims=True) + SMOOTHING * seen)).astype(np.float32)
         self.base = np.log((docs + 1.0) / (docs.sum() + len(docs)))
 
     def posteriors(self, text: str) -> np.ndarray:
-        z = self.base + self.logs[:, _word_buckets(text)].sum(axis=1)
+        z = self.base + self.logs[:, _word_buckets(text, self.buckets)].sum(axis=1)
         p = np.exp(z - z.max())
         return p / p.sum()
 
@@ -121,7 +132,9 @@ class DomainClassifier:
 def train_domains(labelled: DataFrame, domains: list[str], most: int = TRAIN_DOCUMENTS) -> DomainClassifier | None:
     """labelled: doc_id, source, text. None if no document has one of the domains."""
     at = {s: i for i, s in enumerate(domains)}
-    known = labelled.filter(F.col("source").isin(domains))
+    buckets = buckets_for(len(domains))
+    wanted = labelled.sparkSession.createDataFrame([(s,) for s in domains], "wanted string")  # at most MOST_DOMAINS names
+    known = labelled.join(F.broadcast(wanted), F.col("source") == F.col("wanted"), "left_semi")
     every = max(1, -(-known.select("doc_id").count() // most))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,12 +143,12 @@ def train_domains(labelled: DataFrame, domains: list[str], most: int = TRAIN_DOC
             for source, text in zip(b["source"], b["text"]):
                 k = at[source]
                 uses[k, -1] += 1
-                uses.update((k, x) for x in (_word_buckets(text).tolist() if text else ()))
+                uses.update((k, x) for x in (_word_buckets(text, buckets).tolist() if text else ()))
         yield frame([(k, x, n) for (k, x), n in uses.items()], ["domain", "bucket", "n"])
 
     rows = known.filter(F.pmod(F.xxhash64("doc_id"), F.lit(every)) == 0).mapInPandas(count, "domain int, bucket int, n long")
     table = rows.groupBy("domain", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    docs, uses = np.zeros(len(domains)), np.zeros((len(domains), BUCKETS))
+    docs, uses = np.zeros(len(domains)), np.zeros((len(domains), buckets), dtype=np.float32)
     for k, x, n in zip(table["domain"], table["bucket"], table["n"]):
         if x < 0:
             docs[k] = n
@@ -148,7 +161,7 @@ def train_domains(labelled: DataFrame, domains: list[str], most: int = TRAIN_DOC
 def memberships(docs: DataFrame, domains: list[str], tokenizer: TokenCounter | WordCounter) -> DataFrame:
     """(doc_id, source, tokens, domain, weight): arrays of the domains (by number) that the document belongs to; written.
 
-    A known source outside the targets belongs to no domain. Posteriors below 0.001 are left out.
+    A known source outside the targets belongs to no domain.
     """
     at = {s: i for i, s in enumerate(domains)}
     spark = docs.sparkSession
@@ -165,7 +178,7 @@ def memberships(docs: DataFrame, domains: list[str], tokenizer: TokenCounter | W
                     own, weight = ([at[source]], [1.0]) if source in at else ([], [])
                 elif model.value is not None and text:
                     p = model.value.posteriors(text)
-                    kept = np.flatnonzero(p >= 0.001)
+                    kept = np.flatnonzero(p >= LEAST_POSTERIOR)
                     own, weight = [at[model.value.domains[i]] for i in kept], (p[kept] / p[kept].sum()).tolist()
                 rows.append((doc, source if isinstance(source, str) else None, counter.value.count(text) if text else 0, own, weight))
             yield frame(rows, ["doc_id", "source", "tokens", "domain", "weight"])
@@ -182,41 +195,49 @@ def _matrix(b: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nda
     return of, dom, w, b["tokens"].to_numpy(dtype=float)
 
 
-def replay(n: int, of: np.ndarray, dom: np.ndarray, w: np.ndarray, caps: np.ndarray, steps: list[np.ndarray]) -> np.ndarray:
-    """The rates after all passes: each adds its step along the document's domains and is projected onto [0, cap]."""
-    cap = np.bincount(of, w * caps[dom], n) if n else np.zeros(0)
-    rate = np.zeros(n)
-    for g in steps:
-        rate = np.clip(rate + np.bincount(of, w * g[dom], n), 0.0, cap)
-    return rate
+def stepped(rate: np.ndarray, of: np.ndarray, dom: np.ndarray, w: np.ndarray, caps: np.ndarray, step: np.ndarray) -> np.ndarray:
+    """The rates after one pass: the step along each document's domains, projected onto [0, cap]."""
+    n = len(rate)
+    if not n:
+        return rate
+    return np.clip(rate + np.bincount(of, w * step[dom], n), 0.0, np.bincount(of, w * caps[dom], n))
+
 
+def fit_rates(members: DataFrame, targets: np.ndarray, caps: np.ndarray, sizes: np.ndarray, passes: int = PASSES) -> tuple[DataFrame, int]:
+    """`members` with their rates, written, and the passes it took; targets and sizes: tokens per domain.
 
-def fit_rates(members: DataFrame, targets: np.ndarray, caps: np.ndarray, sizes: np.ndarray, passes: int = PASSES) -> list[np.ndarray]:
-    """The steps whose replay gives the documents' rates; targets and sizes: tokens per domain."""
+    Where all memberships are whole, the domains' rates are apart and one step of the full length solves them.
+    """
     k = len(targets)
     scale = np.where(sizes > 0, sizes, 1.0)
-    steps: list[np.ndarray] = []
-    reached = np.zeros(k)
-    last = np.inf
-    for _ in range(passes):
-        steps.append(np.where(sizes > 0, (targets - reached) / scale, 0.0))
-
-        def tokens(batches: Iterator[pd.DataFrame], steps: list = list(steps)) -> Iterator[pd.DataFrame]:
-            total = np.zeros(k)
+    hard = members.filter("exists(weight, w -> w < 1)").isEmpty()
+    rated = members.withColumn("rate", F.lit(0.0))
+    schema = rated.schema
+    reached, last, done = np.zeros(k), np.inf, 0
+    before = None
+    for _ in range(1 if hard else passes):
+        step = np.where(sizes > 0, (targets - reached) / scale, 0.0)
+
+        def move(batches: Iterator[pd.DataFrame], step: np.ndarray = step) -> Iterator[pd.DataFrame]:
             for b in batches:
-                of, dom, w, t = _matrix(b)
-                rate = replay(len(b), of, dom, w, caps, steps)
-                total += np.bincount(dom, w * (rate * t)[of], k)
-            yield frame({"domain": np.arange(k), "tokens": total})
-
-        rows = members.select("tokens", "domain", "weight").mapInPandas(tokens, "domain int, tokens double").groupBy("domain").agg(F.sum("tokens").alias("tokens")).collect()
-        for r in rows:
+                of, dom, w, _ = _matrix(b)
+                yield b.assign(rate=stepped(b["rate"].to_numpy(dtype=float), of, dom, w, caps, step))
+
+        rated = written(rated.mapInPandas(move, schema), "rates")
+        done += 1
+        if before is not None:
+            drop(before)
+        before = rated
+        if hard:
+            break
+        each = rated.select((F.col("rate") * F.col("tokens")).alias("t"), F.explode(F.arrays_zip("domain", "weight")).alias("m"))
+        for r in each.groupBy("m.domain").agg(F.sum(F.col("t") * F.col("m.weight")).alias("tokens")).collect():  # a row a domain
             reached[r["domain"]] = r["tokens"]
         off = float((((targets - reached) ** 2) / scale).sum())
         if last - off <= CLOSE * max(1.0, last) and np.isfinite(last):
             break
         last = off
-    return steps
+    return rated, done
 
 
 def _uniform(c) -> Column:
@@ -229,43 +250,41 @@ def whole_repeats(rated: DataFrame) -> DataFrame:
 
     The cut is the last at which the tokens of the documents below it stay within what the rates' fractions ask for; it is
     found to within one document's hash in rounds of histograms with GRID cells a domain. Of the documents beyond it
-    up to FILLS whose tokens come nearest to the rest are taken too, one by one, while that brings the domain nearer to
-    its target.
+    those whose tokens come nearest to the rest are taken too, one by one, while that brings the domain nearer to its
+    target.
     """
     part = F.col("rate") - F.floor("rate")
     rows = written(rated.withColumn("part", F.when(part < 1e-9, 0.0).otherwise(part)).withColumn("u", F.when(F.col("part") > 0, F.try_divide(_uniform("doc_id"), F.col("part")))), "rates")
     open_rows = rows.filter("part > 0").select("main", "u", "tokens", "part")
+    spark = rows.sparkSession
     asked = {r["main"]: r["t"] for r in open_rows.groupBy("main").agg(F.sum(F.col("part") * F.col("tokens")).alias("t")).collect()}
-    low = dict.fromkeys(asked, 0.0)
-    width = dict.fromkeys(asked, 4.0 / GRID)
-    below = dict.fromkeys(asked, 0.0)
-    cut = dict(low)
+    state = {m: (0.0, 4.0 / GRID, 0.0) for m in asked}  # low, width, tokens below low
+    cut = dict.fromkeys(asked, 0.0)
     for _ in range(3):
-        if not asked:
+        if not state:
             break
-        frame = rows.sparkSession.createDataFrame([(m, float(low[m]), float(width[m])) for m in asked], "main int, low double, width double")
+        cells = spark.createDataFrame([(m, *state[m], float(asked[m])) for m in state], "main int, low double, width double, below double, asked double")
         cell = F.floor(F.try_divide(F.col("u") - F.col("low"), F.col("width")))
-        hist = open_rows.join(F.broadcast(frame), "main").withColumn("cell", cell).filter(f"cell >= 0 and cell < {GRID}").groupBy("main", "cell").agg(F.sum("tokens").alias("t")).toPandas()  # at most domains x GRID rows
-        for m in asked:
-            own = hist[hist["main"] == m].sort_values("cell")
-            up = below[m] + np.cumsum(own["t"].to_numpy(dtype=float))
-            i = int(np.searchsorted(up, asked[m]))
-            cells = own["cell"].to_numpy()
-            if i >= len(cells):
-                cut[m] = low[m] + width[m] * GRID
-                width[m] = 0.0
-                low[m] = cut[m]
+        hist = open_rows.join(F.broadcast(cells), "main").withColumn("cell", cell).filter(f"cell >= 0 and cell < {GRID}").groupBy("main", "cell", "low", "width", "below", "asked").agg(F.sum("tokens").alias("t"))
+        over = Window.partitionBy("main").orderBy("cell")  # at most GRID rows a domain
+        up = hist.withColumn("up", F.col("below") + F.sum("t").over(over))
+        crossed = up.filter("up >= asked").groupBy("main").agg(F.min(F.struct("cell", (F.col("up") - F.col("t")).alias("below"), "low", "width")).alias("c")).select("main", "c.*")
+        found = {r["main"]: r for r in crossed.collect()}  # a row a domain
+        for m in list(state):
+            if m not in found:  # all of it is below what is asked for
+                low, width, _ = state.pop(m)
+                cut[m] = low + width * GRID
                 continue
-            before = up[i - 1] if i else below[m]
-            cut[m] = low[m] + width[m] * cells[i]
-            below[m], low[m], width[m] = before, low[m] + width[m] * cells[i], max(width[m] / GRID, 1e-18)
-    cuts = rows.sparkSession.createDataFrame([(m, float(x)) for m, x in cut.items()] or [(-1, 0.0)], "main int, cut double")
+            r = found[m]
+            cut[m] = r["low"] + r["width"] * r["cell"]
+            state[m] = (cut[m], max(r["width"] / GRID, 1e-18), float(r["below"]))
+    cuts = spark.createDataFrame([(m, float(x)) for m, x in cut.items()] or [(-1, 0.0)], "main int, cut double")
     placed = rows.join(F.broadcast(cuts), "main", "left").withColumn("extra", F.coalesce(F.col("u") < F.col("cut"), F.lit(False)))
     drawn = {r["main"]: r["t"] for r in placed.filter("extra").groupBy("main").agg(F.sum("tokens").alias("t")).collect()}
     gap = {m: float(t - drawn.get(m, 0)) for m, t in asked.items()}
     kind = rows.schema["doc_id"].dataType.simpleString()
     filled: list[tuple] = []
-    for _ in range(FILLS):  # a document a domain and round
+    while True:  # a document a domain and round; every round is nearer
         gaps = rows.sparkSession.createDataFrame(list(gap.items()) or [(-1, 0.0)], "main int, gap double")
         taken = rows.sparkSession.createDataFrame(filled, f"doc_id {kind}, taken boolean")
         left = F.abs(F.col("tokens") - F.col("gap"))
@@ -312,18 +331,9 @@ def mix_sources(df: DataFrame, targets: DataFrame, id_col: str, text_col: str, s
     else:
         most = 0.0
     total = most if total_tokens is None else float(total_tokens)
-    steps = fit_rates(members, total * wanted, caps, sizes)
-    held = spark.sparkContext.broadcast((caps, steps))
-
-    def rates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        caps, steps = held.value
-        for b in batches:
-            of, dom, w, _ = _matrix(b)
-            main = [int(d[int(np.argmax(x))]) if len(d) else -1 for d, x in zip(b["domain"], b["weight"])]
-            yield frame({"doc_id": b["doc_id"], "source": b["source"], "tokens": b["tokens"], "main": main, "rate": replay(len(b), of, dom, w, caps, steps)})
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    rated = members.filter("tokens > 0").mapInPandas(rates, f"doc_id {kind}, source string, tokens long, main int, rate double").filter("rate > 0")
+    rated, _ = fit_rates(members, total * wanted, caps, sizes)
+    best = F.array_position("weight", F.array_max("weight"))
+    rated = rated.filter("tokens > 0 and rate > 0").select("doc_id", "source", "tokens", F.get("domain", (best - 1).cast("int")).alias("main"), "rate")
     drawn = written(whole_repeats(rated).filter("repeats > 0"), "drawn")
     mixed = drawn.join(members.select("doc_id", "domain", "weight"), "doc_id").select((F.col("tokens") * F.col("repeats")).alias("t"), F.explode(F.arrays_zip("domain", "weight")).alias("m"))
     got = {r["domain"]: r["t"] for r in mixed.groupBy("m.domain").agg(F.sum(F.col("t") * F.col("m.weight")).alias("t")).collect()}

@@ -101,8 +101,13 @@ def p8_items(spark: SparkSession, d: str) -> DataFrame:
     return leaks.groupBy("item_id").agg(F.count_if(F.col("edits") == 0).alias("n_exact"), F.count_if(F.col("edits") > 0).alias("n_near"))
 
 
+def _tokenizer(spark: SparkSession):
+    """The vocabulary file's folder is the setting spark.corpusmill.tokenizers."""
+    return public_tokenizer(folder=spark.conf.get("spark.corpusmill.tokenizers", "/opt/tokenizers"))
+
+
 def _mixture(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return mix_sources(table(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"), "doc_id", "text", "source", public_tokenizer())
+    return mix_sources(table(spark, d, "documents", "doc_id", "source", "text"), table(spark, d, "mix_targets"), "doc_id", "text", "source", _tokenizer(spark))
 
 
 def p9_mixture(spark: SparkSession, d: str) -> DataFrame:
@@ -113,6 +118,29 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return _mixture(spark, d)[1]
 
 
+def p9_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Per target: its documents, how many are drawn more often than allowed, and whether its share is reached to a thousandth."""
+    drawn, shares = _mixture(spark, d)
+    can = (F.col("tokens") > 0) & (F.col("max_repeats") > 0) & (F.col("target_share") > 0)
+    wanted = shares.agg(F.sum(F.when(can, F.col("target_share"))).alias("all"))
+    over = drawn.join(F.broadcast(shares.select("source", "max_repeats")), "source", "left").groupBy("source").agg(F.count_if(F.coalesce(F.col("repeats") > F.col("max_repeats"), F.lit(True))).alias("over"))
+    each = shares.crossJoin(F.broadcast(wanted)).join(F.broadcast(over), "source", "left")  # one row
+    near = F.abs(F.col("reached_share") - F.when(can, F.col("target_share") / F.col("all")).otherwise(0.0)) <= 0.001
+    return each.select("source", "target_share", "max_repeats", F.col("n_docs").cast("long").alias("n_docs"), F.coalesce("over", F.lit(0)).alias("n_over_limit"), near.alias("reached"))
+
+
+def p9_hidden(spark: SparkSession, d: str) -> DataFrame:
+    """The mixture with the source of a hash third of the documents hidden: each source's wanted, expected and true share."""
+    docs = table(spark, d, "documents", "doc_id", "source", "text")
+    hidden = docs.withColumn("source", F.when(F.pmod(F.xxhash64("doc_id", F.lit("hidden")), F.lit(3)) > 0, F.col("source")))
+    drawn, shares = mix_sources(hidden, table(spark, d, "mix_targets"), "doc_id", "text", "source", _tokenizer(spark))
+    truth = drawn.select("doc_id", (F.col("tokens") * F.col("repeats")).alias("t")).join(docs.select("doc_id", "source"), "doc_id").groupBy("source").agg(F.sum("t").alias("t"))
+    each = shares.join(truth, "source", "left").withColumn("all", F.sum("t").over(Window.partitionBy()))  # a row a source
+    can = (F.col("tokens") > 0) & (F.col("max_repeats") > 0)
+    part = F.when(can, F.col("target_share")).otherwise(0.0)
+    return each.select("source", (part / F.sum(part).over(Window.partitionBy())).alias("wanted_share"), "reached_share", F.coalesce(F.col("t") / F.col("all"), F.lit(0.0)).alias("true_share"))
+
+
 def p10_bands(spark: SparkSession, d: str) -> DataFrame:
     return reading_bands(_pages(spark, d), table(spark, d, "reading_labels"))
 
@@ -162,6 +190,8 @@ ORACLES = {
 n AS (SELECT doc_id, count(*) AS n, list(line_no) AS nos FROM gone GROUP BY doc_id)
 SELECT doc_id, CASE WHEN n IS NULL THEN text ELSE array_to_string([x FOR x, i IN string_split(text, chr(10)) IF NOT list_contains(nos, i)], chr(10)) END AS text, CAST(coalesce(n, 0) AS INTEGER) AS n_removed
 FROM documents LEFT JOIN n USING (doc_id)""",
+    "p9_limits": """SELECT t.source, target_share, max_repeats, count(doc_id) AS n_docs, CAST(0 AS BIGINT) AS n_over_limit, true AS reached
+FROM mix_targets t LEFT JOIN documents d ON d.source = t.source GROUP BY ALL""",
     "p4_found": _FORMS + "SELECT first_id AS link_id_a, link_id AS link_id_b FROM members WHERE link_id <> first_id",
     "p4_addresses": _FORMS + "SELECT link_id, url, n AS n_copies FROM members WHERE link_id = first_id",
 }

@@ -66,7 +66,19 @@ def test_classifier_on_held_out(spark):
 
 def test_projection():
     of, dom, w = np.array([0, 0, 1]), np.array([0, 1, 1]), np.array([0.5, 0.5, 1.0])
-    assert M.replay(2, of, dom, w, np.array([2.0, 4.0]), [np.array([9.0, 9.0]), np.array([-1.0, -1.0])]).tolist() == [2.0, 3.0]
+    rate, caps = np.zeros(2), np.array([2.0, 4.0])
+    for step in (np.array([9.0, 9.0]), np.array([-1.0, -1.0])):
+        rate = M.stepped(rate, of, dom, w, caps, step)
+    assert rate.tolist() == [2.0, 3.0]
+    assert M.buckets_for(25) == M.BUCKETS and M.buckets_for(10_000) * 10_000 <= M.CELLS
+
+
+def test_whole_memberships_take_one_pass(spark):
+    df = spark.createDataFrame([(i, "a", 10, [0], [1.0]) for i in range(20)] + [(50, None, 10, [0, 1], [0.7, 0.3])], "doc_id long, source string, tokens long, domain array<int>, weight array<double>")
+    one = M.fit_rates(df.filter("doc_id < 50"), np.array([100.0, 0.0]), np.array([1.0, 1.0]), np.array([200.0, 0.0]))
+    assert one[1] == 1 and {r.rate for r in one[0].collect()} == {0.5}
+    soft = M.fit_rates(df, np.array([100.0, 1.0]), np.array([1.0, 1.0]), np.array([207.0, 3.0]))
+    assert soft[1] > 1 and abs(sum(r.rate * r.tokens * r.weight[0] for r in soft[0].collect()) - 100) < 1
 
 
 def test_nulls_and_empty(spark):
@@ -78,8 +90,9 @@ def test_nulls_and_empty(spark):
 
 def test_token_counts_add_up():
     pytest.importorskip("tiktoken")
-    pytest.importorskip("public_tokenizers")
     c = M.public_tokenizer()
+    P = pytest.importorskip("public_tokenizers")
+    assert M.TokenCounter(c.path, P.PATTERN).exact("It's 3 o'clock,  don't\n wait") == c.exact("It's 3 o'clock,  don't\n wait")
     r = random.Random(3)
     for _ in range(300):
         t = "".join(r.choice([" ", "  ", "\n", "a", "Word", "don't", "1", "12", "é", "-", " x", "\t", "\r\n", " ", "日本"]) for _ in range(r.randint(0, 60)))
