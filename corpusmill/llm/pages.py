@@ -44,8 +44,9 @@ MONTHS = (
     "janvier février mars avril mai juin juillet août septembre octobre novembre décembre"
 ).split()
 # End of fixed values.
-_DATES = {x + mark for x in [*MONTHS, "0"] for mark in ("", ",", ".")}
-_DIGITS = re.compile(r"\d+(?:[./:-]\d+)*")
+_ZEROS = {"0", "0,", "0."}
+_MONTHS = {m + mark for m in MONTHS for mark in ("", ",", ".")}
+_DIGITS = re.compile(r"[0-9]+(?:[./:-][0-9]+)*")
 _MARK = re.compile(r"(#{1,6}|[-*+•]|\(?\d+[.)]|>|→|←|«|»)[ \t]+")
 _LABEL = re.compile(r"([^\W\d][^:|.!?]*?)\s?:\s")
 _CRUMB = re.compile(r"^\w[\w' -]* [>»/›] .+")
@@ -85,18 +86,29 @@ def node_hash(key: str) -> int:
 
 
 def masked(content: str) -> str:
-    """Numbers and dates in any form as one 0."""
+    """Numbers, and dates in any form, as one 0."""
     out = _DIGITS.sub("0", content)
     if "0" not in out:
         return out
-    kept: list[str] = []
-    for w in out.split(" "):
-        if w in _DATES:
-            if kept and kept[-1] == "0":
-                continue
-            w = "0"
-        kept.append(w)
-    return " ".join(kept)
+    words = out.split(" ")
+    places = {i for i, w in enumerate(words) if w in _ZEROS}
+    for i in list(places):  # months beside a number belong to its date
+        for step in (-1, 1):
+            j = i + step
+            while 0 <= j < len(words) and words[j] in _MONTHS:
+                places.add(j)
+                j += step
+    if not places:
+        return out
+    kept, at = [], 0
+    for i in sorted(places):
+        if i >= at:
+            kept += words[at:i]
+            kept.append("0")
+            at = i + 1
+            while at in places:
+                at += 1
+    return " ".join(kept + words[at:])
 
 
 def presentation(line: str) -> tuple[str, str]:

@@ -62,7 +62,7 @@ def made():
 
 def test_lines():
     assert presentation("## **a b**") == ("h", "a b") and presentation("- x")[0] == "l" and presentation("| a |")[0] == "t" and presentation("a | b")[0] == "m" and presentation("home > x / y")[0] == "c"
-    assert masked("updated 3/4/2020 in may") == "updated 0 in 0" and masked("may") == "may" and masked("on may 3, 2020") == masked("on 3.5.2020") == "on 0"
+    assert masked("updated 3/4/2020 in may") == "updated 0 in may" and masked("12 may 2020, 3 times") == "0 times" and masked("may") == "may" and masked("on may 3, 2020") == masked("on 3.5.2020") == "on 0"
     lines = read_page("x\n\n  The  Title \r\n# Other")
     assert [x.no for x in lines] == [1, 3, 4] and title_place(lines, "the title") == 1 and title_place(lines, None) == 2 and title_place([], "x") is None
 
