@@ -185,18 +185,18 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, l2: flo
     if not n:
         return Classifier(np.zeros(BUCKETS), -1.0)
     size = np.fromiter((len(r) for r in rows), dtype=np.int64, count=n)
-    flat, of = np.concatenate(rows), np.repeat(np.arange(n), size)
-    value = np.repeat(1 / np.sqrt(size), size)
+    flat, starts = np.concatenate(rows).astype(np.int64), np.cumsum(size) - size
+    scale = 1 / np.sqrt(size)  # rows hold at least their lengths, so none is empty
     share = weights / weights.sum()
     w, b = np.zeros(BUCKETS), 0.0
     w0, b0 = w, b
     for k in range(rounds):
         m = k / (k + 3)
         v, c = w + m * (w - w0), b + m * (b - b0)
-        p = 1 / (1 + np.exp(-(np.bincount(of, v[flat] * value, n) + c)))
+        p = 1 / (1 + np.exp(-(np.add.reduceat(v[flat], starts) * scale + c)))
         g = (p - labels) * share
         w0, b0 = w, b
-        w = v - rate * (np.bincount(flat, g[of] * value, BUCKETS) + l2 * v)
+        w = v - rate * (np.bincount(flat, np.repeat(g * scale, size), BUCKETS) + l2 * v)
         b = c - rate * g.sum()
     return Classifier(w, float(b))
 
