@@ -69,7 +69,7 @@ WITH fields AS (
   UNION ALL SELECT quote_id, 'link_2', link_2 FROM index_quotes_26
   UNION ALL SELECT quote_id, 'link_3', link_3 FROM index_quotes_26),
 parted AS (SELECT quote_id, field_name, regexp_replace(f, '[,;]+([ ''"<\[]*https?://)', ' \1', 'gi') AS f FROM fields),
-lists AS (SELECT quote_id, field_name, regexp_extract_all(f, '(?i)https?://[^\s\x{2028}\x{A0}<>"''\[\]()|\\`{}]+') AS links FROM parted)
+lists AS (SELECT quote_id, field_name, regexp_extract_all(f, '(?i)https?://[^\s\x{2028}\x{A0}<>"''\[\]()|\\`{}]+') AS links FROM parted),
 found AS (
 SELECT quote_id, field_name, CAST(i AS INTEGER) AS pos, regexp_replace(links[i], '[,;.:!]+$', '') AS link
 FROM (SELECT quote_id, field_name, links, unnest(range(1, len(links) + 1)) AS i FROM lists))
