@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.llm.boilerplate import boilerplate_lines, main_text
-from corpusmill.llm.copies import count_copies
+from corpusmill.llm.copies import count_copies, one_per_address
 from corpusmill.llm.leaks import WORDS, find_leaks
 from corpusmill.llm.mixing import mix_sources, public_tokenizer
 from corpusmill.llm.pages import page_columns
@@ -50,8 +50,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_addresses(spark: SparkSession, d: str) -> DataFrame:
     """One record per address with the number of its copies."""
-    links = table(spark, d, "all_links", "link_id", "url")
-    return count_copies(links, "link_id", "url").filter("link_id = first_id").join(links, "link_id").select("link_id", "url", F.col("copies").alias("n_copies"))
+    return one_per_address(table(spark, d, "all_links", "link_id", "url"), "link_id", "url")
 
 
 def _pages(spark: SparkSession, d: str) -> DataFrame:

@@ -51,10 +51,20 @@ def test_radix_with_hot_addresses(spark, bucket_rows):
 
 
 def test_buckets_fit(spark):
-    rows = spark.createDataFrame([(f"https h example p {i % 40:03d}?#",) for i in range(400)], "form string")
-    parted, limit = C.radix_buckets(rows, bucket_rows=15)
-    sizes = parted.groupBy("bucket", "hot").agg(F.count("*").alias("n"), F.count_distinct("form").alias("k")).collect()
-    assert limit == 15 and all(x.n <= limit or (x.hot and x.k == 1) for x in sizes) and all(x.bucket for x in sizes)
+    # the bound on a part does not depend on the number of rows; a long common beginning costs no level
+    forms = [f"https h example {'x ' * 200}p {i % 40:03d}?#" for i in range(400)] + ["one form only?#"] * 90
+    rows = spark.createDataFrame([(f, 1, i) for i, f in enumerate(forms)], "form string, copies long, first_id long")
+    for most in (C.BROADCAST_PARTS, 0):
+        parted = C.radix_buckets(rows, 15, most)
+        sizes = parted.groupBy("bucket").agg(F.count("*").alias("n"), F.count_distinct("form").alias("k")).collect()
+        assert sum(x.n for x in sizes) == len(forms) and all(x.n <= 15 or x.k == 1 for x in sizes)
+
+
+def test_hot_addresses_are_few_rows_before_they_move(spark):
+    data = [(i, U if i % 3 else f"{U}/{i}") for i in range(3000)]
+    forms = C.canonical(spark.createDataFrame(data, "link_id long, url string").repartition(4), "link_id", "url")
+    counts = C.task_counts(forms)
+    assert counts.count() <= 1000 + 4 * 2 and counts.agg(F.sum("copies")).collect()[0][0] == 3000
 
 
 def test_empty(spark):
@@ -64,5 +74,9 @@ def test_empty(spark):
 def test_trie():
     t = C.Trie()
     for key, form in ((5, "a b"), (3, "a b"), (9, "a"), (1, "a b c")):
-        node = t.add(form, key)
-    assert t.add("a b", 7)[1:] == [3, 3, [5, 3, 7]] and node[1:] == [1, 1, [1]]
+        t.add(form, 1, key)
+    t.add("a b", 4, 7)
+    assert sorted(t.ends()) == [("a", 1, 9), ("a b", 6, 3), ("a b c", 1, 1)]
+    t = C.Trie()
+    t.add("?#", 2, 1)
+    assert list(t.ends()) == [("?#", 2, 1)]
