@@ -18,7 +18,7 @@ from corpusmill.frames import frame
 
 #: Counters of one source before its summary is pruned, and of all sources before a partition's summaries are handed on.
 COUNTERS, ALL_COUNTERS = 50_000, 1_000_000
-#: A key on at least one in so many documents is hot: there are at most HOT x lines of a document of them, so they are broadcast.
+#: A key on at least one in so many of all documents is hot: there are at most HOT x lines of a document of them, so they are broadcast.
 HOT = 5_000
 
 

@@ -244,7 +244,9 @@ def merge_pages(docs: DataFrame) -> DataFrame:
     totals = rough.filter("key is null").select(F.col("source").alias("of"), F.col("everywhere").alias("wide"), F.col("n").alias("docs"))
     floor = F.when(F.col("everywhere"), F.lit(GLOBAL_CANDIDATE - GLOBAL_DROP)).otherwise(F.lit(CANDIDATE - DROP)) * F.col("docs")
     frequent = rough.filter("key is not null").join(totals, F.col("source").eqNullSafe(F.col("of")) & (F.col("everywhere") == F.col("wide")))
-    frequent = written(frequent.filter((F.col("n") >= floor - 1e-9) & (F.col("n") >= 2)).select("source", "everywhere", "key", "n", "docs"), "page-candidates")
+    pages = totals.filter("wide").select(F.col("docs").alias("pages"))  # one row
+    frequent = frequent.filter((F.col("n") >= floor - 1e-9) & (F.col("n") >= 2)).select("source", "everywhere", "key", "n", "docs").crossJoin(F.broadcast(pages))
+    frequent = written(frequent, "page-candidates")
     frequent = frequent.withColumn("common", F.col("n") >= F.greatest(F.lit(5.0), COMMON_SHARE * F.col("docs")))
     whole, held = _held(frequent, BROADCAST_NODES, "key", "common")
 
@@ -284,13 +286,13 @@ def _style_rows(styles: dict, sizes: dict) -> pd.DataFrame:
 
 def _cold(nodes: DataFrame, key: str) -> DataFrame:
     """The rows of one source that are not broadcast where not all can be."""
-    return nodes.filter(~F.col("everywhere") & F.col(key).isNotNull() & (F.col("n") * HOT < F.col("docs"))).withColumn("key", F.col(key))
+    return nodes.filter(~F.col("everywhere") & F.col(key).isNotNull() & (F.col("n") * HOT < F.col("pages"))).withColumn("key", F.col(key))
 
 
 def _held(nodes: DataFrame, limit: int, key: str, value: str | None = None):
     """Whether all of `nodes` fit, and the broadcast ({source: {key: value}}, {key: value}): else the hot ones and those of every source only."""
     whole = nodes.count() <= limit
-    rows = nodes if whole else nodes.filter(F.col("everywhere") | F.col(key).isNull() | (F.col("n") * HOT >= F.col("docs")))
+    rows = nodes if whole else nodes.filter(F.col("everywhere") | F.col(key).isNull() | (F.col("n") * HOT >= F.col("pages")))
     own: dict = defaultdict(dict)
     world: dict = {}
     for r in rows.select("source", "everywhere", key, (F.col(value) if value else F.lit(0)).alias("v")).toLocalIterator():
@@ -349,7 +351,7 @@ def region_importances(tree: DataFrame, own: DataFrame) -> DataFrame:
 
 
 def unimportant_nodes(tree: DataFrame) -> DataFrame:
-    """(source, everywhere, node, leads, n, docs): the elements to remove, and with node = -region - 1 and n null the regions.
+    """(source, everywhere, node, leads, n, pages): the elements to remove, and with node = -region - 1 and n null the regions.
 
     `leads`: the box of entries below that goes too. In the tree of all sources an element's place is its content:
     the importance of the regions it stands in, over its styles.
@@ -360,16 +362,16 @@ def unimportant_nodes(tree: DataFrame) -> DataFrame:
     rows_too = nodes.groupBy("source", "node").agg(F.sum("n").alias("shown"), F.max("docs").alias("docs"))
     regions = written(region_importances(tree, rows_too.select("source", "node", content_importance(F.col("shown"), F.col("docs")).alias("text"))), "regions")
     noisy = (F.col("text") <= IMPORTANCE) & (F.col("importance") <= IMPORTANCE) & (F.col("below") <= BELOW) & (F.col("n") >= LEAST_PAGES)
-    own = all_shown.filter(noisy).select("source", F.lit(False).alias("everywhere"), "node", "leads", "n", "docs")
+    own = all_shown.filter(noisy).select("source", F.lit(False).alias("everywhere"), "node", "leads", "n")
     total = pages.agg(F.sum("docs").alias("docs"))
     places = regions.filter("everywhere").select("region", F.col("importance").alias("leaf"))
     region = F.when(F.col("style") < ROW, F.floor(F.col("style") / 5)).otherwise(F.col("style") - ROW).cast("int")
     world = nodes.groupBy("node", "style").agg(F.sum("n").alias("n")).withColumn("region", region).join(F.broadcast(places), "region").join(F.broadcast(total))
     far = importances(world)
     common = (F.col("n") >= F.greatest(F.lit(5.0), GLOBAL_SHARE * F.col("docs"))) & (2 * F.col("n") > F.col("shown"))
-    everywhere = far.filter(common & (F.col("importance") <= WORLD_IMPORTANCE) & (F.col("below") <= BELOW)).select(F.lit(None).cast("string").alias("source"), F.lit(True).alias("everywhere"), "node", "leads", "n", "docs")
-    cut = regions.filter(F.col("importance") <= IMPORTANCE).select("source", "everywhere", (-F.col("region") - 1).cast("long").alias("node"), F.lit(0).alias("leads"), F.lit(None).cast("long").alias("n"), F.lit(None).cast("long").alias("docs"))
-    return own.unionByName(everywhere).unionByName(cut)
+    everywhere = far.filter(common & (F.col("importance") <= WORLD_IMPORTANCE) & (F.col("below") <= BELOW)).select(F.lit(None).cast("string").alias("source"), F.lit(True).alias("everywhere"), "node", "leads", "n")
+    cut = regions.filter(F.col("importance") <= IMPORTANCE).select("source", "everywhere", (-F.col("region") - 1).cast("long").alias("node"), F.lit(0).alias("leads"), F.lit(None).cast("long").alias("n"))
+    return own.unionByName(everywhere).unionByName(cut).crossJoin(F.broadcast(total.select(F.col("docs").alias("pages"))))  # one row
 
 
 @dataclass(slots=True)

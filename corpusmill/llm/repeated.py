@@ -1,8 +1,8 @@
 """Lines repeated across the documents of one source.
 
-First pass: a summary per partition and source with a bounded number of counters (lines seen in fewer than DROP of the
-documents seen there are dropped); summaries merge by adding up, and a line that reaches the threshold keeps at least
-`share - DROP` of its source's documents in the sum. Second pass: exact counts of the candidates alone. Third pass: the
+First pass: a summary per partition and source with a bounded number of counters (heavy.py: lines seen in fewer than DROP
+of the documents seen there are dropped); summaries merge by adding up, and a line that reaches the threshold keeps at
+least `share - DROP` of its source's documents in the sum. Second pass: exact counts of the candidates alone. Third pass: the
 confirmed lines, broadcast, are looked up in each document.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
+from corpusmill.llm.heavy import HOT, attach, plain, summaries
 from corpusmill.storage import written
 from corpusmill.tables import spread
 
@@ -24,10 +25,8 @@ SHARE = 0.15
 LEAST = 3
 #: Share of a source's documents below which a partition's summary forgets a line.
 DROP = 0.05
-#: Broadcast confirmed and candidate lines up to this many (24 bytes each); beyond it they go to the documents by a join on the source.
+#: Broadcast confirmed and candidate lines up to this many (24 bytes each); beyond it all but the hot ones go to their documents by a join on source and line.
 BROADCAST_LINES = 400_000
-#: Counters of a source in one partition before its summary is pruned.
-COUNTERS = 50_000
 
 
 def line_key(line: str) -> str:
@@ -47,63 +46,51 @@ def _keys(text: str) -> set[str]:
     return {k for k in {" ".join(x.split()) for x in text.lower().split("\n")} if k}
 
 
-def line_summaries(docs: DataFrame, drop: float = DROP) -> DataFrame:
-    """(source, line, n): merged summaries; line null: the number of documents."""
-
-    def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # Lossy counting: a line's count falls short by at most what its source had lost when the line came (back) in.
-        seen: Counter = Counter()
-        counts: dict[str | None, Counter] = defaultdict(Counter)
-        short: dict[str | None, dict[str, float]] = defaultdict(dict)
-        base: dict[str | None, float] = defaultdict(float)
-        for b in batches:
-            for source, text in zip(b["source"], b["text"]):
-                source = None if source is None or source != source else source
-                seen[source] += 1
-                if text:
-                    counts[source].update(_keys(text))
-            for source, c in counts.items():
-                if len(c) > COUNTERS:
-                    known, cut = short[source], drop * seen[source]
-                    kept = {k: (n, known.get(k, base[source])) for k, n in c.items() if n + known.get(k, base[source]) >= cut}
-                    counts[source] = Counter({k: n for k, (n, _) in kept.items()})
-                    short[source], base[source] = {k: d for k, (_, d) in kept.items()}, cut
-        rows = [(s, None, n) for s, n in seen.items()]
-        for source, c in counts.items():
-            cut, known = drop * seen[source], short[source]
-            rows += [(source, line_hash(k), n) for k, n in c.items() if n + known.get(k, base[source]) >= cut and has_letter(k)]
-        yield frame({"source": pd.Series([r[0] for r in rows], dtype=object), "line": pd.array([r[1] for r in rows], dtype="Int64"), "n": [r[2] for r in rows]})
-
-    return docs.mapInPandas(summarise, "source string, line long, n long").groupBy("source", "line").agg(F.sum("n").alias("n"))
-
-
-def _lookup(docs: DataFrame, lines: DataFrame, n: int, limit: int, each: Callable, schema: str) -> DataFrame:
-    """docs.mapInPandas over batches of (doc_id, source, text) with the set of lines of each source at hand: broadcast if at most `limit`."""
-    if n <= limit:
-        sets: dict = defaultdict(set)
-        for r in lines.select("source", "line").toLocalIterator():
-            sets[r[0]].add(r[1])
-        held = docs.sparkSession.sparkContext.broadcast(dict(sets))
-
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            yield from each((zip(b["doc_id"].tolist(), b["source"], b["text"], map(held.value.get, [None if s is None or s != s else s for s in b["source"]])) for b in batches))
-
-        return docs.mapInPandas(run, schema)
-    per = lines.groupBy(F.col("source").alias("own")).agg(F.collect_list("line").alias("own_lines"))
-    with_lines = docs.join(per, docs.source.eqNullSafe(F.col("own")), "left").drop("own")
-
-    def run_joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        yield from each((zip(b["doc_id"].tolist(), b["source"], b["text"], [None if x is None else set(x.tolist()) for x in b["own_lines"]]) for b in batches))
-
-    return with_lines.mapInPandas(run_joined, schema)
+def _hashes(text: str) -> set[int]:
+    return {line_hash(k) for k in _keys(text)}
+
+
+def _number(key: str) -> int | None:
+    return line_hash(key) if has_letter(key) else None
+
+
+def _lookup(docs: DataFrame, lines: DataFrame, limit: int, each: Callable, schema: str) -> DataFrame:
+    """docs.mapInPandas over batches of (doc_id, source, text, lines, more): the source's lines that are broadcast, and those of the document that are not.
+
+    lines: source, line, n. All are broadcast if they are at most `limit`, else those that are hot (see heavy.HOT),
+    and each document gets those of its own lines that are among the rest by a join on source and line.
+    """
+    whole = lines.count() <= limit
+    hot = F.col("n") * HOT >= F.lit(0 if whole else docs.select("doc_id").count())
+    sets: dict = defaultdict(set)
+    for r in (lines if whole else lines.filter(hot)).select("source", "line").toLocalIterator():
+        sets[r[0]].add(r[1])
+    held = docs.sparkSession.sparkContext.broadcast(dict(sets))
+    if not whole:
+        docs = attach(docs, _hashes, lines.filter(~hot).withColumnRenamed("line", "key"), F.col("key"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield from each((_with_lines(b, held.value, whole) for b in batches))
+
+    return docs.mapInPandas(run, schema)
+
+
+_NONE: frozenset = frozenset()
+
+
+def _with_lines(b: pd.DataFrame, sets: dict, whole: bool) -> Iterator[tuple]:
+    more = [None] * len(b) if whole else b["own"]
+    for doc, source, text, own in zip(b["doc_id"].tolist(), map(plain, b["source"]), b["text"], more):
+        lines = sets.get(source, _NONE)
+        yield doc, source, text, lines if own is None else lines | set(own.tolist())
 
 
 def repeated_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, drop: float = DROP, limit: int = BROADCAST_LINES) -> DataFrame:
     """(source, line, n, docs): the lines of each source, by hash of their key, in at least `least` and `share` of its documents. Exact counts."""
-    merged = written(line_summaries(docs, drop), "line-summaries")
+    merged = written(summaries(docs, _keys, _number, drop).withColumnRenamed("key", "line"), "line-summaries")
     totals = merged.filter("line is null").select(F.col("source").alias("of"), F.col("n").alias("docs"))
     floor = F.greatest(F.lit(share - drop) * F.col("docs") - 1e-9, F.lit(1.0))
-    candidates = merged.filter("line is not null").join(totals, F.col("source").eqNullSafe(F.col("of"))).filter(F.col("n") >= floor).select("source", "line", "docs")
+    candidates = merged.filter("line is not null").join(totals, F.col("source").eqNullSafe(F.col("of"))).filter(F.col("n") >= floor).select("source", "line", "n", "docs")
     candidates = written(candidates, "candidates")
 
     def count(rows: Iterator) -> Iterator[pd.DataFrame]:
@@ -113,7 +100,6 @@ def repeated_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, dr
             for _, source, text, lines in batch:
                 if not text or not lines:
                     continue
-                source = None if source is None or source != source else source
                 for k in _keys(text):
                     if (h := hashes.get(k)) is None:
                         h = line_hash(k)
@@ -123,8 +109,8 @@ def repeated_lines(docs: DataFrame, share: float = SHARE, least: int = LEAST, dr
                         found[source, h] += 1
         yield frame({"source": pd.Series([s for s, _ in found], dtype=object), "line": [h for _, h in found], "n": list(found.values())}).astype({"line": "int64", "n": "int64"})
 
-    exact = _lookup(docs, candidates, candidates.count(), limit, count, "source string, line long, n long").groupBy("source", "line").agg(F.sum("n").alias("n"))
-    exact = exact.join(candidates.withColumnsRenamed({"source": "s2", "line": "l2"}), F.col("source").eqNullSafe(F.col("s2")) & (F.col("line") == F.col("l2")))
+    exact = _lookup(docs, candidates, limit, count, "source string, line long, n long").groupBy("source", "line").agg(F.sum("n").alias("n"))
+    exact = exact.join(candidates.select(F.col("source").alias("s2"), F.col("line").alias("l2"), "docs"), F.col("source").eqNullSafe(F.col("s2")) & (F.col("line") == F.col("l2")))
     return written(exact.filter((F.col("n") >= least) & (F.col("n") >= F.lit(share) * F.col("docs") - 1e-9)).select("source", "line", "n", "docs"), "repeated")
 
 
@@ -163,7 +149,7 @@ def repeated_occurrences(df: DataFrame, id_col: str, text_col: str, source_col:
             yield frame({id_col: ids, "line_no": nos})
 
     kind = df.schema[id_col].dataType.simpleString()
-    return _lookup(docs, confirmed, confirmed.count(), how.get("limit", BROADCAST_LINES), places, f"{id_col} {kind}, line_no int")
+    return _lookup(docs, confirmed, how.get("limit", BROADCAST_LINES), places, f"{id_col} {kind}, line_no int")
 
 
 def remove_repeated(df: DataFrame, id_col: str, text_col: str, source_col: str, **how) -> DataFrame:
@@ -187,4 +173,4 @@ def remove_repeated(df: DataFrame, id_col: str, text_col: str, source_col: str,
             yield frame({id_col: ids, text_col: texts, "n_removed": removed})
 
     kind = df.schema[id_col].dataType.simpleString()
-    return _lookup(docs, confirmed, confirmed.count(), how.get("limit", BROADCAST_LINES), strip, f"{id_col} {kind}, {text_col} string, n_removed int")
+    return _lookup(docs, confirmed, how.get("limit", BROADCAST_LINES), strip, f"{id_col} {kind}, {text_col} string, n_removed int")

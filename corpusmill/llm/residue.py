@@ -120,6 +120,7 @@ class Body:
     titled: bool | None
     words: int
     rest: list[str] = field(default_factory=list)
+    bare: bool = False  # nothing is left but the title
 
 
 def body_of(page: Reading, title: str | None) -> Body:
@@ -129,16 +130,20 @@ def body_of(page: Reading, title: str | None) -> Body:
     kept = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if i != place and not c]
     rest = [x.content for i, (x, c) in enumerate(zip(page.lines, page.chrome)) if c and i > low and i != place]
     shown = page.lines[place].content if place is not None else None
-    if not kept and shown is not None:
+    bare = not kept and shown is not None
+    if bare:
         kept, shown = [shown], None
     named = shown == " ".join(title.lower().split()) if title else None
-    return Body(kept, shown, named, sum(x.count(" ") + 1 for x in kept), rest)
+    return Body(kept, shown, named, sum(x.count(" ") + 1 for x in kept), rest, bare)
 
 
 def labelled(body: Body) -> Body:
     """The body with the chrome lines that phrases name: what the weak label is of."""
     named = [x for x in body.rest if names_residue(x)]
-    return Body(body.lines + named, body.title, body.titled, body.words + sum(x.count(" ") + 1 for x in named), [x for x in body.rest if x not in named]) if named else body
+    if not named:
+        return body
+    lines = named if body.bare else body.lines + named
+    return Body(lines, body.title, body.titled, sum(x.count(" ") + 1 for x in lines))
 
 
 def weak_label(body: Body, without: int | None = None) -> int | None:
@@ -161,20 +166,21 @@ class Classifier:
     def is_residue(self, body: Body) -> bool:
         """Whether the page is a case. Looks no further once a sentence settles that it has an article.
 
-        On a small site the same message on several pages looks like chrome, so chrome below the title that scores
-        clearly as residue counts too.
+        On a small site the same message on several pages looks like chrome, so chrome below the title that scores as
+        residue counts too, beside sentences of an article only if it does so clearly.
         """
         residue = article = 0
         for u in dict.fromkeys(u for x in body.lines for u in units_of(x)):
             s = self.score(unit_features(u, body.title, body.titled, body.words, len(body.lines)))
-            if s < CLEAR:
+            if s < CLEAR and not body.bare:
                 return False
             if s > 0:
                 residue += u.count(" ") + 1
-            else:
+            elif not body.bare:  # a title alone is no article
                 article += u.count(" ") + 1
+        least = -CLEAR if article else 0.0
         for u in dict.fromkeys(u for x in body.rest for u in units_of(x)):
-            if self.score(unit_features(u, body.title, body.titled, body.words, len(body.lines))) > -CLEAR:
+            if self.score(unit_features(u, body.title, body.titled, body.words, len(body.lines))) > least:
                 residue += u.count(" ") + 1
         return residue > article
 

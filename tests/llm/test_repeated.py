@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import pytest
 
+from corpusmill.llm import heavy
 from corpusmill.llm import repeated as R
 
 SCHEMA = "doc_id long, source string, text string, line string, n int"
@@ -35,9 +36,11 @@ def made(n=300):
     return data
 
 
-@pytest.mark.parametrize("limit,counters", [(R.BROADCAST_LINES, 50_000), (0, 50_000), (R.BROADCAST_LINES, 20)])
-def test_against_plain_counts(spark, monkeypatch, limit, counters):
-    monkeypatch.setattr(R, "COUNTERS", counters)
+@pytest.mark.parametrize("limit,counters,most,hot", [(R.BROADCAST_LINES, 50_000, 10**6, 5000), (0, 50_000, 10**6, 5000), (0, 50_000, 10**6, 4), (R.BROADCAST_LINES, 20, 10**6, 5000), (R.BROADCAST_LINES, 50_000, 30, 5000)])
+def test_against_plain_counts(spark, monkeypatch, limit, counters, most, hot):
+    monkeypatch.setattr(heavy, "COUNTERS", counters)
+    monkeypatch.setattr(heavy, "ALL_COUNTERS", most)
+    monkeypatch.setattr(R, "HOT", hot)
     data = made()
     df = spark.createDataFrame([(d, s, t, "clash", 1) for d, s, t in data], SCHEMA).repartition(5)
     got = sorted(tuple(x) for x in R.repeated_occurrences(df, "doc_id", "text", "source", limit=limit).collect())
