@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,9 +11,9 @@ from corpusmill.storage import written
 
 #: Blanks, visible or not, at the ends of a value.
 EDGE_BLANKS = r"^[\s\p{Z}\p{Cf}]+|[\s\p{Z}\p{Cf}]+$"
-#: Leaves of the tree: 16 ** LEVELS hash ranges a snapshot, a fixed number, so the digest tables are bounded for any input.
-LEVELS = 4
-#: Words of 64 ranges that say which differ: at most 16 ** LEVELS / 64 a pair; broadcast up to this many (20 bytes each), else joined by a shuffle.
+#: Rows of a snapshot to a leaf of its tree, about; the tree has as many levels as that takes.
+LEAF_ROWS, LEAST_LEVELS, MOST_LEVELS = 4, 2, 12
+#: Words of 64 ranges that say which differ; broadcast up to this many (20 bytes each), else joined by a shuffle.
 BROADCAST_WORDS = 500_000
 
 
@@ -35,8 +37,15 @@ def latest_rows(df: DataFrame, snapshot: str, key: str, digest: str, updated: st
 
 
 def consecutive(rows: DataFrame) -> DataFrame:
-    """(snapshot_no, next_no) for each snapshot; next_no null for the last. One row a snapshot."""
-    return rows.select("snapshot_no").distinct().withColumn("next_no", F.lead("snapshot_no").over(Window.orderBy("snapshot_no")))
+    """(snapshot_no, next_no, later) for each snapshot; next_no null for the last, later null for the first, else its own number. One row a snapshot."""
+    order = Window.orderBy("snapshot_no")
+    later = F.when(F.lag("snapshot_no").over(order).isNotNull(), F.col("snapshot_no"))
+    return rows.select("snapshot_no").distinct().select("snapshot_no", F.lead("snapshot_no").over(order).alias("next_no"), later.alias("later"))
+
+
+def levels_for(n: int) -> int:
+    """Levels of a tree over so many rows a snapshot."""
+    return min(MOST_LEVELS, max(LEAST_LEVELS, math.ceil(math.log(max(1, n / LEAF_ROWS), 16))))
 
 
 def leaf_digests(rows: DataFrame) -> DataFrame:
@@ -58,7 +67,7 @@ def parents(nodes: DataFrame) -> DataFrame:
 def differing(nodes: DataFrame, pairs: DataFrame, within: DataFrame | None) -> DataFrame:
     """(later_no, node) of one level whose digests differ between the two snapshots of a pair; `within`: differing parents."""
     steps = nodes.join(F.broadcast(pairs), "snapshot_no").select(F.inline(F.array(
-        F.struct(F.col("snapshot_no").alias("later_no"), F.lit(1).alias("side"), "node", "d1", "d2", "n"),
+        F.struct(F.col("later").alias("later_no"), F.lit(1).alias("side"), "node", "d1", "d2", "n"),
         F.struct(F.col("next_no").alias("later_no"), F.lit(-1).alias("side"), "node", "d1", "d2", "n"),
     ))).filter("later_no is not null")
     if within is not None:
@@ -72,7 +81,7 @@ def range_words(found: DataFrame) -> DataFrame:
     return found.groupBy(F.col("later_no").alias("of_no"), F.shiftright("node", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, int(node % 64)))").alias("bits"))
 
 
-def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url", digest: str = "content_hash", updated: str = "last_update", levels: int = LEVELS) -> DataFrame:
+def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url", digest: str = "content_hash", updated: str = "last_update", levels: int | None = None, limit: int = BROADCAST_WORDS) -> DataFrame:
     """(snapshot_no, key, change_kind) for each two consecutive snapshots, change_kind `added`, `removed` or `changed`.
 
     Blanks around key and digest and the digest's letter case do not count. Rows with a null snapshot or a null or blank
@@ -80,11 +89,14 @@ def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url
     greatest digest, a present one before a missing one). A missing digest differs from everything, also from another
     missing one. An empty table, or one with a single snapshot, gives no rows. Other columns are ignored.
 
-    Keys fall into 16 ** levels hash ranges. Digests are compared from the root down, and only rows in ranges whose
-    digests differ are compared one by one.
+    Keys fall into 16 ** levels hash ranges (by default of about LEAF_ROWS rows each). Digests are compared from the root
+    down, below differing nodes only, and only rows in ranges whose digests differ are compared one by one.
     """
-    leaf = F.shiftrightunsigned(F.xxhash64("key"), 64 - 4 * levels)
-    rows = written(latest_rows(df, snapshot, key, digest, updated).withColumn("leaf", leaf), "snapshot-rows")
+    rows = written(latest_rows(df, snapshot, key, digest, updated).withColumn("h", F.xxhash64("key")), "snapshot-rows")
+    if levels is None:
+        sizes = rows.groupBy("snapshot_no").count().agg(F.max("count").alias("n")).collect()
+        levels = levels_for(sizes[0]["n"] or 1)
+    rows = rows.withColumn("leaf", F.shiftrightunsigned("h", 64 - 4 * levels))
     tree = [written(leaf_digests(rows), "digests")]
     for _ in range(levels):
         tree.append(parents(tree[-1]))
@@ -92,18 +104,23 @@ def diff_snapshots(df: DataFrame, snapshot: str = "snapshot_no", key: str = "url
     found = None
     for nodes in reversed(tree):
         found = differing(nodes, pairs, found)
-    sides = rows.join(F.broadcast(pairs), "snapshot_no").select(F.inline(F.array(
-        F.struct(F.col("snapshot_no").alias("later_no"), F.lit(True).alias("later"), "leaf", "key", "digest"),
-        F.struct(F.col("next_no").alias("later_no"), F.lit(False).alias("later"), "leaf", "key", "digest"),
-    ))).filter("later_no is not null")
     words = written(range_words(found), "ranges")
-    held = F.broadcast(words) if words.count() <= BROADCAST_WORDS else words
-    sides = sides.join(held, (sides.later_no == words.of_no) & (F.shiftright(sides.leaf, 6) == words.word)).filter(F.expr("(shiftright(bits, int(leaf % 64)) & 1L) = 1L"))
-    first = tree[0].select(F.min("snapshot_no").alias("first_no"))
-    both = sides.groupBy("later_no", "key").agg(
-        F.max(F.when(F.col("later"), 1)).alias("has_new"), F.max(F.when(~F.col("later"), 1)).alias("has_old"),
-        F.max(F.when(F.col("later"), F.col("digest"))).alias("new"), F.max(F.when(~F.col("later"), F.col("digest"))).alias("old"),
+    few = words.count() <= limit
+    held = F.broadcast(words) if few else words
+    sides = rows.select("snapshot_no", "key", "digest", "leaf", F.shiftright("leaf", 6).alias("w")).join(F.broadcast(pairs), "snapshot_no")
+    # a row is moved once, though it may be the later one of a pair and the earlier one of the next
+    for name, of in (("as_later", "later"), ("as_earlier", "next_no")):
+        mine = held.select(F.col("of_no").alias(name + "_no"), F.col("word").alias(name + "_word"), F.col("bits").alias(name))
+        sides = sides.join(mine, (F.col(of) == F.col(name + "_no")) & (F.col("w") == F.col(name + "_word")), "left").drop(name + "_no", name + "_word")
+        sides = sides.withColumn(name, F.coalesce(F.expr(f"(shiftright({name}, int(leaf % 64)) & 1L) = 1L"), F.lit(False)))
+    sides = sides.filter("as_later or as_earlier").select("key", "digest", F.when(F.col("as_later"), F.col("later")).alias("later"), F.when(F.col("as_earlier"), F.col("next_no")).alias("next_no"))
+    sides = sides.repartition("key").select("key", F.inline(F.array(
+        F.struct(F.col("later").alias("later_no"), F.lit(True).alias("new_side"), "digest"),
+        F.struct(F.col("next_no").alias("later_no"), F.lit(False).alias("new_side"), "digest"),
+    ))).filter("later_no is not null")
+    both = sides.groupBy("key", "later_no").agg(
+        F.max(F.when(F.col("new_side"), 1)).alias("has_new"), F.max(F.when(~F.col("new_side"), 1)).alias("has_old"),
+        F.max(F.when(F.col("new_side"), F.col("digest"))).alias("new"), F.max(F.when(~F.col("new_side"), F.col("digest"))).alias("old"),
     )
     kind = F.when(F.col("has_old").isNull(), "added").when(F.col("has_new").isNull(), "removed").when(~F.coalesce(F.col("new") == F.col("old"), F.lit(False)), "changed")
-    changed = both.withColumn("change_kind", kind).filter("change_kind is not null").join(F.broadcast(first), F.col("later_no") > F.col("first_no"))
-    return changed.select(F.col("later_no").alias("snapshot_no"), F.col("key").alias(key), "change_kind")
+    return both.withColumn("change_kind", kind).filter("change_kind is not null").select(F.col("later_no").alias("snapshot_no"), F.col("key").alias(key), "change_kind")

@@ -46,7 +46,7 @@ def test_cases(spark):
     assert (4, "u2", "changed") in diff(spark, data) and (9, "u1", "changed") in diff(spark, data)
 
 
-def test_random_and_hot_key(spark, monkeypatch):
+def test_random_and_hot_key(spark):
     r = random.Random(5)
     data = []
     for s in (3, 4, 8):
@@ -56,8 +56,8 @@ def test_random_and_hot_key(spark, monkeypatch):
     data += [(3, "u7", "h7", T0)] * 300  # one key holds a third of the rows
     for levels in (1, 4):
         assert diff(spark, data, levels=levels) == brute(data)
-    monkeypatch.setattr(snapshots, "BROADCAST_WORDS", -1)
-    assert diff(spark, data) == brute(data)
+    assert diff(spark, data, limit=-1) == brute(data)
+    assert [snapshots.levels_for(n) for n in (0, 1000, 10**5, 10**9)] == [2, 2, 4, 7]
 
 
 def test_empty_and_single(spark):
