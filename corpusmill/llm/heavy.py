@@ -78,7 +78,7 @@ def summaries(docs: DataFrame, keys: Callable[[str], Iterable], number: Callable
                 c = own.get(source)
                 if c is None:
                     c = own[source] = Lossy()
-                found = keys(text) if text else ()
+                found = keys(text) if text is not None and len(text) else ()
                 c.add(found)
                 if everywhere:
                     world.add(found)
@@ -96,8 +96,8 @@ def summaries(docs: DataFrame, keys: Callable[[str], Iterable], number: Callable
     return made.groupBy("source", "everywhere", "key").agg(F.sum("n").alias("n"))
 
 
-def attach(docs: DataFrame, keys: Callable[[str], Iterable], found: DataFrame, value: Column) -> DataFrame:
-    """docs (doc_id, source, text, ...) with `own`: the values of those rows of `found` (source, key, unique) that a document has.
+def attach(docs: DataFrame, keys: Callable[[str], Iterable] | Column, found: DataFrame, value: Column) -> DataFrame:
+    """docs (doc_id, source, and text if `keys` is a function of it, else keys is an array column) with `own`: the values of those rows of `found` (source, key, unique) that a document has.
 
     Documents give their keys as rows, joined on source and key; keys of `found` are few rows each (see HOT), so no key is
     a hot one, and no source's whole set goes anywhere.
@@ -109,7 +109,10 @@ def attach(docs: DataFrame, keys: Callable[[str], Iterable], found: DataFrame, v
             yield frame(rows, ["doc_id", "source", "key"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    each = docs.select("doc_id", "source", "text").mapInPandas(explode, f"doc_id {kind}, source string, key long")
+    if isinstance(keys, Column):
+        each = docs.select("doc_id", "source", F.explode(keys).alias("key"))
+    else:
+        each = docs.select("doc_id", "source", "text").mapInPandas(explode, f"doc_id {kind}, source string, key long")
     side = found.select(F.col("source").alias("s2"), F.col("key").alias("k2"), value.alias("value"))
     hits = each.join(side, (F.col("key") == F.col("k2")) & F.col("source").eqNullSafe(F.col("s2")))
     per = hits.groupBy(F.col("doc_id").alias("d2"), F.col("source").alias("s3")).agg(F.collect_set("value").alias("own"))

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from corpusmill.frames import frame
 from corpusmill.llm.heavy import HOT, attach, plain, summaries
-from corpusmill.storage import written
+from corpusmill.storage import drop, written
 from corpusmill.tables import spread
 
 # Month names of the pages' languages, masked in dates.
@@ -48,7 +48,6 @@ _ZEROS = {"0", "0,", "0."}
 _MONTHS = {m + mark for m in MONTHS for mark in ("", ",", ".")}
 _DIGITS = re.compile(r"[0-9]+(?:[./:-][0-9]+)*")
 _MARK = re.compile(r"(#{1,6}|[-*+•]|\(?\d+[.)]|>|→|←|«|»)[ \t]+")
-_LABEL = re.compile(r"([^\W\d][^:|.!?]*?)\s?:\s")
 _CRUMB = re.compile(r"^\w[\w' -]* [>»/›] .+")
 HEADING, LIST, TABLE, QUOTE, ARROW, MENU, CRUMB, PLAIN = "hltqamcp"
 
@@ -121,9 +120,9 @@ def presentation(line: str) -> tuple[str, str]:
         kind, content = PLAIN, line
         if line[0] == "|":
             return TABLE, line
-        if line.count(" | ") >= 1 or "](#)" in line:
+        if " | " in line or "](#)" in line:
             kind = MENU
-        elif _CRUMB.match(line):
+        elif (" > " in line or " / " in line or " » " in line or " › " in line) and _CRUMB.match(line):
             kind = CRUMB
     if content[:2] == "**" and content[-2:] == "**" and len(content) > 4:
         kind, content = HEADING, content[2:-2].strip()
@@ -131,8 +130,12 @@ def presentation(line: str) -> tuple[str, str]:
 
 
 def label_of(content: str) -> str | None:
-    m = _LABEL.match(content)
-    return m.group(1) if m else None
+    """What stands before the line's first colon, if a blank follows it and it is no sentence."""
+    i = content.find(":")
+    if i < 1 or content[i + 1 : i + 2] != " " or not content[0].isalpha():
+        return None
+    label = content[:i].rstrip()
+    return None if any(c in label for c in "|.!?") else label
 
 
 @dataclass(slots=True)
@@ -171,14 +174,22 @@ def _look(raw: str) -> tuple[str, str, int, int | None, bool] | None:
 
 def read_page(text: str) -> list[Line]:
     """The non-blank lines of a page."""
-    return [Line(no, *got) for no, raw in enumerate(text.split("\n"), 1) if (got := _look(raw)) is not None]
+    known = _memo.get
+    out = []
+    for no, raw in enumerate(text.split("\n"), 1):
+        if raw:
+            got = known(raw) or _look(raw)
+            if got is not None:
+                out.append(Line(no, *got))
+    return out
 
 
 def page_keys(text: str) -> set[int]:
     """The keys of a page's lines and labels."""
     out = set()
-    for raw in text.split("\n"):
-        if (got := _look(raw)) is not None:
+    known = _memo.get
+    for raw in set(text.split("\n")):
+        if raw and (got := known(raw) or _look(raw)) is not None:
             out.add(got[2])
             if got[3] is not None:
                 out.add(got[3])
@@ -201,37 +212,72 @@ def title_place(lines: list[Line], title: str | None) -> int | None:
     return named
 
 
-def page_styles(lines: list[Line], title: str | None, frequent: Callable[[int], bool], common: Callable[[int], bool]) -> tuple[dict[int, int], list[int]]:
-    """The style of each frequent element of a page (its first place counts), and the number of lines in each region."""
-    at = title_place(lines, title)
-    last = max((i for i, x in enumerate(lines) if _articlelike(x)), default=-1)
+def parsed_pages(docs: DataFrame) -> DataFrame:
+    """(doc_id, source, at, keys, labels, shapes): the pages as numbers, written, so texts are parsed once for the tree.
+
+    at: the title's index, -1 without one; keys, labels: of each line, label 0 for none; shapes: its number, presentation,
+    whether it is article-like, and whether it ends as a sentence does (see `shape_of`).
+    """
+
+    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            at, keys, labels, shapes = [], [], [], []
+            for title, text in zip(map(plain, b["title"]), b["text"]):
+                lines = read_page(text) if text else []
+                place = title_place(lines, title)
+                at.append(-1 if place is None else place)
+                keys.append([x.key for x in lines])
+                labels.append([x.label or 0 for x in lines])
+                shapes.append([shape_of(x) for x in lines])
+            yield frame({"doc_id": b["doc_id"], "source": b["source"].astype(object), "at": at, "keys": keys, "labels": labels, "shapes": shapes})
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return written(docs.mapInPandas(parse, f"doc_id {kind}, source string, at int, keys array<long>, labels array<long>, shapes array<long>"), "parsed-pages")
+
+
+_KINDS = HEADING + LIST + TABLE + QUOTE + ARROW + MENU + CRUMB + PLAIN
+_ROWS = {_KINDS.index(k) for k in (LIST, TABLE, QUOTE)}
+_HEADING, _LIST, _ARROW, _MENU, _PLAIN = (_KINDS.index(k) for k in (HEADING, LIST, ARROW, MENU, PLAIN))
+
+
+def shape_of(x: Line) -> int:
+    return x.no * 32 + _KINDS.index(x.kind) * 4 + _articlelike(x) * 2 + (x.content[-1:] in (".", "!", "?"))
+
+
+def page_styles(at: int, keys: list[int], labels: list[int], shapes: list[int], frequent: Callable[[int], bool], common: Callable[[int], bool]) -> tuple[dict[int, int], list[int]]:
+    """The style of each frequent element of a parsed page (its first place counts), and the number of lines in each region."""
+    n = len(keys)
+    last = next((i for i in range(n - 1, -1, -1) if shapes[i] & 2), -1)
     out: dict[int, int] = {}
     sizes = [0, 0, 0, 0]
     often: Counter | None = None
-    top = at is not None
-    for i, x in enumerate(lines):
-        if top and i > at and (x.no - lines[at].no != i - at or _articlelike(x)):  # a blank line, or the article begins
+    top = at >= 0
+    for i, (key, label, shape) in enumerate(zip(keys, labels, shapes)):
+        if top and i > at and ((shape >> 5) - (shapes[at] >> 5) != i - at or shape & 2):  # a blank line, or the article begins
             top = False
-        under = top and i > at
-        region = ABOVE if at is not None and i < at else TAIL if i > last else UNDER if under else BODY
+        region = ABOVE if i < at else TAIL if i > last else UNDER if top and i > at else BODY
         sizes[region] += 1
-        new = [k for k in (x.key, x.label) if k is not None and k not in out and frequent(k)]
-        if not new:
+        new_key = key not in out and frequent(key)
+        new_label = label != 0 and label not in out and frequent(label)
+        if not (new_key or new_label):
             continue
-        if x.kind in (LIST, TABLE, QUOTE):
+        kind = shape >> 2 & 7
+        if kind in _ROWS:
             style = ROW + region
         else:
-            nxt = lines[i + 1] if i + 1 < len(lines) else None
-            joined = nxt is not None and nxt.no == x.no + 1
             below = NOTHING
-            if joined:
-                often = often or Counter(y.content for y in lines)
-                below = REPEATS if often[nxt.content] > 1 and nxt.kind != HEADING else ENTRIES if nxt.kind in (LIST, ARROW) else NOTHING
-            if below == NOTHING and nxt is not None and x.kind == HEADING:
-                below = COMMON if nxt.kind in (PLAIN, MENU) and common(nxt.key) else OWN_TEXT
+            if i + 1 < n:
+                nxt, nkind = shapes[i + 1], shapes[i + 1] >> 2 & 7
+                if (nxt >> 5) == (shape >> 5) + 1:  # no blank line between
+                    often = often or Counter(keys)
+                    below = REPEATS if often[keys[i + 1]] > 1 and nkind != _HEADING else ENTRIES if nkind in (_LIST, _ARROW) else NOTHING
+                if below == NOTHING and kind == _HEADING:
+                    below = COMMON if nkind in (_PLAIN, _MENU) and common(keys[i + 1]) else OWN_TEXT
             style = region * 5 + below
-        for k in new:  # what follows a label is data, as numbers are, or a sentence of the page's own
-            out[k] = region * 5 + OWN_TEXT if k == x.label and style < ROW and x.content[-1] in ".!?" else style
+        if new_key:
+            out[key] = style
+        if new_label:  # what follows a label is data, as numbers are, or a sentence of the page's own
+            out[label] = region * 5 + OWN_TEXT if style < ROW and shape & 1 else style
     return out, sizes
 
 
@@ -240,14 +286,16 @@ def merge_pages(docs: DataFrame) -> DataFrame:
 
     node null: style PAGES the source's pages, else a region and its lines. docs: doc_id, source, title, text.
     """
-    rough = written(summaries(docs, page_keys, None, DROP, GLOBAL_DROP), "page-summaries")
+    parsed = parsed_pages(docs)
+    both = F.array_union("keys", F.array_remove("labels", 0))
+    rough = summaries(parsed.select("source", both.alias("text")), lambda a: set(a.tolist()), None, DROP, GLOBAL_DROP)
+    rough = written(rough, "page-summaries")
     totals = rough.filter("key is null").select(F.col("source").alias("of"), F.col("everywhere").alias("wide"), F.col("n").alias("docs"))
     floor = F.when(F.col("everywhere"), F.lit(GLOBAL_CANDIDATE - GLOBAL_DROP)).otherwise(F.lit(CANDIDATE - DROP)) * F.col("docs")
     frequent = rough.filter("key is not null").join(totals, F.col("source").eqNullSafe(F.col("of")) & (F.col("everywhere") == F.col("wide")))
     pages = totals.filter("wide").select(F.col("docs").alias("pages"))  # one row
     frequent = frequent.filter((F.col("n") >= floor - 1e-9) & (F.col("n") >= 2)).select("source", "everywhere", "key", "n", "docs").crossJoin(F.broadcast(pages))
-    frequent = written(frequent, "page-candidates")
-    frequent = frequent.withColumn("common", F.col("n") >= F.greatest(F.lit(5.0), COMMON_SHARE * F.col("docs")))
+    frequent = written(frequent, "page-candidates").withColumn("common", F.col("n") >= F.greatest(F.lit(5.0), COMMON_SHARE * F.col("docs")))
     whole, held = _held(frequent, BROADCAST_NODES, "key", "common")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -255,16 +303,14 @@ def merge_pages(docs: DataFrame) -> DataFrame:
         styles: Counter = Counter()
         sizes: dict = defaultdict(lambda: [0] * 5)
         for b in batches:
-            extra = [()] * len(b) if whole else b["own"]
-            for source, title, text, more in zip(map(plain, b["source"]), b["title"], b["text"], extra):
+            extra = [None] * len(b) if whole else b["own"]
+            for source, at, keys, labels, shapes, more in zip(map(plain, b["source"]), b["at"].tolist(), b["keys"], b["labels"], b["shapes"], extra):
                 size = sizes[source]
                 size[4] += 1
-                if not text:
-                    continue
                 mine = own.get(source, {})
                 more = set() if more is None else set(more)
-                found, lines = page_styles(read_page(text), plain(title), lambda k, mine=mine, more=more: k in mine or k in world or k in more, lambda k, mine=mine: bool(mine.get(k)))
-                styles.update((source, k, s) for k, s in found.items())
+                found, lines = page_styles(at, keys.tolist(), labels.tolist(), shapes.tolist(), lambda k, mine=mine, more=more: k in mine or k in world or k in more, lambda k, mine=mine: bool(mine.get(k)))
+                styles.update({(source, k, s): 1 for k, s in found.items()})
                 for r, n in enumerate(lines):
                     size[r] += n
             if len(styles) > 500_000:  # sums add up, so parts may be handed on
@@ -272,9 +318,10 @@ def merge_pages(docs: DataFrame) -> DataFrame:
                 styles = Counter()
         yield _style_rows(styles, sizes)
 
-    near = docs if whole else attach(docs, page_keys, _cold(frequent, "key"), F.col("key"))
-    made = near.mapInPandas(count, "source string, node long, style int, n long")
-    return written(made.groupBy("source", "node", "style").agg(F.sum("n").alias("n")), "style-tree")
+    near = parsed if whole else attach(parsed, both, _cold(frequent, "key"), F.col("key"))
+    made = written(near.mapInPandas(count, "source string, node long, style int, n long").groupBy("source", "node", "style").agg(F.sum("n").alias("n")), "style-tree")
+    drop(parsed)
+    return made
 
 
 def _style_rows(styles: dict, sizes: dict) -> pd.DataFrame:

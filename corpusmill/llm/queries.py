@@ -94,6 +94,12 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return p8_leaks(spark, d).filter((F.col("edits") == 0) & (F.col("run") >= WORDS)).select("doc_id", "item_id").distinct()
 
 
+def p8_exact_items(spark: SparkSession, d: str) -> DataFrame:
+    """The items of which documents hold a passage word by word, with the number of these documents."""
+    exact = p8_leaks(spark, d).filter("edits = 0").select("item_id", "doc_id").distinct()
+    return exact.groupBy("item_id").agg(F.count("*").alias("n_documents"))
+
+
 def p8_items(spark: SparkSession, d: str) -> DataFrame:
     """The items that leaked, with the number of documents that hold them exactly or nearly."""
     leaks = p8_leaks(spark, d).groupBy("item_id", "doc_id").agg(F.min("edits").alias("edits"))
@@ -181,6 +187,7 @@ ip AS (SELECT DISTINCT item_id, array_to_string(w[i:i+11], ' ') AS p FROM (SELEC
 
 ORACLES = {
     "p8_found": _P8 + "SELECT DISTINCT doc_id, item_id FROM dw JOIN ip USING (p)",
+    "p8_exact_items": _P8 + "SELECT item_id, count(DISTINCT doc_id) AS n_documents FROM dw JOIN ip USING (p) GROUP BY item_id",
     "p2_found": "SELECT doc_id FROM documents WHERE length(text) > 6000",
     "p2_rebuilt": "SELECT doc_id, length(text) AS n_chars, md5(text) AS digest, true AS within_limits FROM documents WHERE length(text) > 6000",
     "p3_found": _LINES + "SELECT doc_id, line_no FROM lines JOIN bad ON lines.source IS NOT DISTINCT FROM bad.source AND lines.line = bad.line",
