@@ -202,15 +202,16 @@ def html_to_markdown(html: str, narrow: str | None = None) -> tuple[str, str]:
     return (text if text.strip() else EMPTY), " ".join((title or "").split())
 
 
-def convert_pages(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """(id_col, markdown, title) of each page, one Arrow batch at a time; null pages give the empty mark."""
+def convert_pages(df: DataFrame, id_col: str, html_col: str, narrow_col: str | None = None) -> DataFrame:
+    """(id_col, markdown, title) of each page, one Arrow batch at a time; null pages give the empty mark. narrow_col: what `content_of` narrows each page to (null: nothing)."""
 
     def convert(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            done = [html_to_markdown(h if isinstance(h, str) else "") for h in b[html_col]]
+            to = b[narrow_col] if narrow_col else [None] * len(b)
+            done = [html_to_markdown(h if isinstance(h, str) else "", n if isinstance(n, str) else None) for h, n in zip(b[html_col], to)]
             yield frame({id_col: b[id_col], "markdown": [m for m, _ in done], "title": [t for _, t in done]})
 
-    return df.select(id_col, html_col).mapInPandas(convert, f"{id_col} {df.schema[id_col].dataType.simpleString()}, markdown string, title string")
+    return df.select(id_col, html_col, *([narrow_col] if narrow_col else [])).mapInPandas(convert, f"{id_col} {df.schema[id_col].dataType.simpleString()}, markdown string, title string")
 
 
 def html_title(c: Column) -> Column:
@@ -251,3 +252,24 @@ def handbook_entries(html: str) -> list[tuple[str, str, str]]:
 def navigation_entries(html: str, base: str) -> list[tuple[str, str]]:
     """(title, url) of each list entry's link, addresses put behind `base`."""
     return [(" ".join(a.text().split()), base + a.attrs.get("href", "")) for li in parse_html(html or "").walk() if li.tag == "li" and (a := li.find("a"))]
+
+
+def index_tables(df: DataFrame, id_col: str, html_col: str, kind: str, base: str = "") -> DataFrame:
+    """(id_col, pos, section, subsection, title, url) of index pages; kind: `sections`, `handbook` or `navigation`. Null pages give no rows."""
+
+    def read(page: str) -> list[tuple]:
+        if kind == "sections":
+            return index_entries(page)
+        if kind == "handbook":
+            return [(chapter, None, title, url) for chapter, title, url in handbook_entries(page)]
+        return [(None, None, title, url) for title, url in navigation_entries(page, base)]
+
+    if kind not in ("sections", "handbook", "navigation"):
+        raise ValueError(kind)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = [(key, i, *row) for key, page in zip(b[id_col].tolist(), b[html_col]) if isinstance(page, str) for i, row in enumerate(read(page), 1)]
+            yield frame(rows, [id_col, "pos", "section", "subsection", "title", "url"])
+
+    return df.select(id_col, html_col).mapInPandas(run, f"{id_col} {df.schema[id_col].dataType.simpleString()}, pos int, section string, subsection string, title string, url string")

@@ -168,9 +168,9 @@ def word_windows(df: DataFrame, id_col: str, text_col: str, size: int, overlap:
 
 
 def budget_pieces(df: DataFrame, id_col: str, text_col: str, most: int, count=None) -> DataFrame:
-    """(id_col, pos, piece): words gathered until the next would take a piece over `most` tokens by `count(words)`; by default a word is a token.
+    """(id_col, pos, piece): words gathered until the next would take a piece to `most` tokens by `count(word)`; by default a word is a token.
 
-    A word that alone exceeds the budget is a piece of its own.
+    A piece stays below `most`, but for a word that alone reaches it, which is a piece of its own.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -180,7 +180,7 @@ def budget_pieces(df: DataFrame, id_col: str, text_col: str, most: int, count=No
                 held, used, pos = [], 0, 0
                 for w in (text or "").split():
                     n = count(w) if count else 1
-                    if held and used + n > most:
+                    if held and used + n >= most:
                         pos += 1
                         rows.append((doc, pos, " ".join(held)))
                         held, used = [], 0

@@ -9,7 +9,7 @@ ATTEMPTS = ["HTML_PROCESSING_ATTEMPT", "PDF_PROCESSING_ATTEMPT"]
 
 
 def once_each(log: DataFrame, key: str = "log_id", arrived: str = "received_at") -> DataFrame:
-    """Entries delivered several times count once, as first received."""
+    """Entries delivered several times count once, as first received. Give it only the columns that are wanted: all of them move."""
     rest = [c for c in log.columns if c not in (key,)]
     return log.groupBy(key).agg(F.min_by(F.struct(*rest), arrived).alias("_r")).select(key, "_r.*").select(*log.columns)
 
@@ -38,7 +38,7 @@ def run_summary(log: DataFrame, links: DataFrame) -> DataFrame:
 
 def missing_addresses(log: DataFrame, links: DataFrame) -> DataFrame:
     """Addresses of the link table that the crawl never logged."""
-    return links.select("url").filter("url is not null").distinct().join(log.filter("stage = 'crawl'").select("url"), "url", "left_anti")
+    return links.select("url").filter("url is not null").distinct().join(log.filter("stage = 'crawl' and url is not null").select("url").distinct(), "url", "left_anti")
 
 
 def report_lines(summary: dict, counts: list[tuple[str, str, int]]) -> str:

@@ -14,8 +14,18 @@ NOTHING = "qwer asdf"
 
 def retrieved_texts(queries: DataFrame, chunks: DataFrame, k: int, threshold: float, text: str = "text", query_id: str = "query_id", id_col: str = "vec_id") -> DataFrame:
     """(query_id, rank, id_col, text): of the k nearest the ones at or above the threshold, one for each text; NOTHING where there are none."""
-    hits = top_k(queries, chunks, k, query_id, id_col, threshold=threshold).join(chunks.select(id_col, text), id_col)
-    kept = one_per_text(hits, text, query_id).select(query_id, "rank", id_col, text)
+    hits = search_hits(queries, chunks, k, threshold, text, query_id, id_col)
+    return texts_of(queries, hits, k, threshold, text, query_id, id_col)
+
+
+def search_hits(queries: DataFrame, chunks: DataFrame, k: int, threshold: float, text: str = "text", query_id: str = "query_id", id_col: str = "vec_id") -> DataFrame:
+    """(query_id, id_col, score, rank, text) of the k nearest at or above the threshold."""
+    return top_k(queries, chunks, k, query_id, id_col, threshold=threshold).join(chunks.select(id_col, text), id_col)
+
+
+def texts_of(queries: DataFrame, hits: DataFrame, k: int, threshold: float, text: str = "text", query_id: str = "query_id", id_col: str = "vec_id") -> DataFrame:
+    """The retrieved texts from hits of as many or more neighbours: a search cut by rank and score."""
+    kept = one_per_text(hits.filter((F.col("rank") <= k) & (F.col("score") >= threshold)), text, query_id).select(query_id, "rank", id_col, text)
     return queries.select(query_id).join(kept, query_id, "left").withColumn(text, F.coalesce(text, F.lit(NOTHING)))
 
 

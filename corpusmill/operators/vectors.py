@@ -31,8 +31,8 @@ def _unit(vectors: list) -> np.ndarray:
 def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str = "query_id", id_col: str = "vec_id", column: str = "embedding", threshold: float | None = None, block: int = BLOCK_NUMBERS) -> DataFrame:
     """(query_id, id_col, score, rank): the k best vectors of each query by cosine, ties by id; exact.
 
-    Every vector is compared with every stated query, block of queries by block, as one matrix product per batch; a batch
-    keeps its k best per query, so what is shuffled is at most k rows per query and batch. Null and empty vectors and those
+    Every vector is compared with every stated query, block of queries by block, as one matrix product per batch; a task
+    keeps the k best of its batches per query, so what is shuffled is at most k rows per query and task. Null and empty vectors and those
     of another length are left out. A zero vector has the score 0 with everything.
     """
     spark = vectors.sparkSession
@@ -44,16 +44,19 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int, query_id: str = "query
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             qid, q = held.value
+            keys, scores = None, None  # the best so far, a row a query
             for b in batches:
                 ok = [i for i, v in enumerate(b[column]) if v is not None and len(v) == q.shape[1]]
                 if not ok:
                     continue
-                key = b[id_col].to_numpy()[ok]
-                by_id = np.argsort(key, kind="stable")
-                key, s = key[by_id], (q @ _unit([b[column].iloc[i] for i in ok]).T)[:, by_id]
-                best = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                n = best.shape[1]
-                out = pd.DataFrame({query_id: np.repeat(np.array(qid), n), id_col: key[best].ravel(), "score": np.take_along_axis(s, best, axis=1).ravel()})
+                s = q @ _unit([b[column].iloc[i] for i in ok]).T
+                key = np.broadcast_to(b[id_col].to_numpy()[ok], s.shape)
+                if keys is not None:
+                    key, s = np.concatenate([keys, key], axis=1), np.concatenate([scores, s], axis=1)
+                best = np.lexsort((key, -s), axis=1)[:, :k]
+                keys, scores = np.take_along_axis(key, best, axis=1), np.take_along_axis(s, best, axis=1)
+            if keys is not None:
+                out = pd.DataFrame({query_id: np.repeat(np.array(qid), keys.shape[1]), id_col: keys.ravel(), "score": scores.ravel()})
                 yield out if threshold is None else out[out["score"] >= threshold]
 
         return vectors.select(id_col, column).mapInPandas(run, f"{query_id} {qkind}, {id_col} {kind}, score double")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from corpusmill.plans import chunk_queries, link_queries, log_queries, problems, text_queries
+from corpusmill.plans import chunk_queries, link_queries, log_queries, page_queries, problems, text_queries
 
-MODULES = [link_queries, log_queries, text_queries, chunk_queries, problems]
+MODULES = [link_queries, log_queries, text_queries, chunk_queries, page_queries, problems]
 FLAGSHIP = "chunk_full"
 
 

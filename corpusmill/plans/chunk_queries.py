@@ -85,6 +85,12 @@ def zero_chunk_files(spark: SparkSession, d: str) -> DataFrame:
     return none.withColumn("filename", file_stem(F.col("filepath"))).join(first, "filename", "left").select("doc_id", F.coalesce("url", F.lit("URL not found")).alias("url"))
 
 
+def token_budget_split(spark: SparkSession, d: str) -> DataFrame:
+    """Pieces below 101 tokens, a word being a token."""
+    pieces = K.budget_pieces(spread(table(spark, d, "documents", "doc_id", "text")), "doc_id", "text", 101)
+    return pieces.select("doc_id", "pos", F.sha2("piece", 256).alias("piece_sha256"))
+
+
 def sliding_chunks(spark: SparkSession, d: str) -> DataFrame:
     c = K.word_windows(spread(table(spark, d, "documents", "doc_id", "text")), "doc_id", "text", 128, 32)
     return c.select("doc_id", "pos", F.sha2("chunk", 256).alias("chunk_sha256"))
@@ -167,10 +173,11 @@ def rerank_hits(spark: SparkSession, d: str) -> DataFrame:
 
 def sweep_grid(spark: SparkSession, d: str) -> DataFrame:
     """Mean F of retrieval over a grid of k and n-gram length."""
-    asked, corpus = _asked(spark, d), _corpus(spark, d)
+    asked = _asked(spark, d)
+    hits = written(R.search_hits(asked, _corpus(spark, d), 5, 0.1), "hits")
 
     def objective(p: dict) -> float:
-        texts = R.retrieved_texts(asked, corpus, p["k"], 0.1)
+        texts = R.texts_of(asked, hits, p["k"], 0.1)
         return R.score_queries(texts, asked, p["n"], 5.0).agg(F.round(F.avg("f"), 6)).collect()[0][0]
 
     return S.search(spark, S.grid({"k": [2, 5], "n": [2, 3]}), objective)
@@ -191,7 +198,7 @@ def stream_status_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = """paragraph_split header_carry context_window embed_window prev_next sequence_islands adjacent_dedupe heading_counts chunk_full chunk_stats chunk_stats_plain
-zero_chunk_files sliding_chunks sentence_split knn_topk knn_threshold knn_label_vote index_build index_statistics index_evaluate retrieval_scores rerank_hits sweep_grid stream_status_counts""".split()
+zero_chunk_files sliding_chunks token_budget_split sentence_split knn_topk knn_threshold knn_label_vote index_build index_statistics index_evaluate retrieval_scores rerank_hits sweep_grid stream_status_counts""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
 
 _P = r"""
@@ -247,6 +254,9 @@ WHERE doc_id NOT IN (SELECT doc_id FROM p WHERE length(block) >= 40 AND NOT star
     "sliding_chunks": r"""WITH w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(text, '\s+') IF x <> ''] AS w FROM documents),
 n AS (SELECT doc_id, w, unnest(range(0, CASE WHEN len(w) > 128 THEN CAST(ceil((len(w) - 128) / 96) AS INTEGER) + 1 WHEN len(w) > 0 THEN 1 ELSE 0 END)) AS i FROM w)
 SELECT doc_id, CAST(i + 1 AS INTEGER) AS pos, sha256(array_to_string(w[i * 96 + 1 : i * 96 + 128], ' ')) AS chunk_sha256 FROM n""",
+    "token_budget_split": r"""WITH w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array(text, '[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+') IF x <> ''] AS w FROM documents),
+n AS (SELECT doc_id, w, unnest(range(0, CAST(ceil(len(w) / 100.0) AS INTEGER))) AS i FROM w)
+SELECT doc_id, CAST(i + 1 AS INTEGER) AS pos, sha256(array_to_string(w[i * 100 + 1 : i * 100 + 100], ' ')) AS piece_sha256 FROM n""",
     "knn_topk": _KNN + "SELECT query_id, vec_id, rank, round(score, 5) AS score FROM r WHERE rank <= 35",
     "knn_threshold": _KNN + "SELECT query_id, count(*) AS n FROM r WHERE rank <= 50 AND score >= 0.15 GROUP BY 1",
     "knn_label_vote": _KNN

@@ -98,6 +98,34 @@ def delta_counts(spark: SparkSession, d: str) -> DataFrame:
     return _flagged(spark, d).agg(F.count_if("changed").alias("n_changed"), F.count_if(~F.col("changed")).alias("n_unchanged"), F.count_if(F.col("previous_hash").isNull()).alias("n_without_previous"))
 
 
+def run_counters(spark: SparkSession, d: str) -> DataFrame:
+    """Counters of the latest run against the one before."""
+    new, old = _two(spark, d)
+    flagged = C.with_change_flag(new.select("url", "content_type", "content_hash").distinct(), old)
+    return C.run_counters(flagged, flagged.filter("changed and content_hash is not null"))
+
+
+def outputs_carried(spark: SparkSession, d: str) -> DataFrame:
+    """What the latest run's outputs are: pages made anew, and those of the run before whose page has not changed."""
+    flagged = _flagged(spark, d).select("url", "changed").groupBy("url").agg(F.max("changed").alias("changed"))
+    _, old = _two(spark, d)
+    made = flagged.filter("changed").select("url", F.lit("made").alias("origin"))
+    earlier = old.select("url").distinct().withColumn("origin", F.lit("kept"))
+    return C.carry_over(made, earlier, flagged.filter("not changed"))
+
+
+def links_sorted(spark: SparkSession, d: str) -> DataFrame:
+    """The first 50 addresses in order, with their places: the ordering is checked by the place."""
+    first = table(spark, d, "all_links", "url").filter("url is not null").distinct().orderBy("url").limit(50)
+    return first.select(F.row_number().over(Window.orderBy("url")).alias("place"), "url")
+
+
+def urls_by_role(spark: SparkSession, d: str) -> DataFrame:
+    """The distinct addresses of each role in one text, a line each."""
+    links = table(spark, d, "all_links", "role_name", "url").filter("url is not null").distinct()
+    return links.groupBy("role_name").agg(F.array_join(F.array_sort(F.collect_list("url")), "\n").alias("urls"), F.count("*").alias("n"))
+
+
 def crawl_upsert_dedupe(spark: SparkSession, d: str) -> DataFrame:
     new, old = _two(spark, d)
     columns = ["heading", "subheading", "title", "url", "content_type", "content_hash", "role_name", "last_update"]
@@ -216,7 +244,7 @@ def sorted_union_schema(spark: SparkSession, d: str) -> DataFrame:
 
 
 NAMES = """links_index_rows links_union_merge links_union_sources links_normalize_dedupe links_duplicate_mark links_with_fragment links_exclude_domains
-links_domains links_roles url_hash_filename display_lists delta_changed delta_unchanged delta_counts crawl_upsert_dedupe failed_fetch content_routing
+links_domains links_roles url_hash_filename display_lists delta_changed delta_unchanged delta_counts run_counters outputs_carried links_sorted urls_by_role crawl_upsert_dedupe failed_fetch content_routing
 content_hashes missing_urls existence_flag not_converted urls_in_both urls_only_linked first_url_of_file meta_assoc meta_missing qa_links_explode
 qa_links_not_indexed qa_zip_join qa_duplicate_count qa_without_placeholder sorted_union_schema""".split()
 QUERIES = {n: globals()[n] for n in NAMES}
@@ -257,7 +285,19 @@ UNION ALL SELECT coalesce(url, 'Missing'), coalesce(title[1], 'Missing'), 'Missi
     "delta_changed": _FLAG + "SELECT url, title, content_hash, previous_hash FROM flag WHERE changed",
     "delta_unchanged": _FLAG + "SELECT url, title, content_hash FROM flag WHERE NOT changed",
     "delta_counts": _FLAG + "SELECT count(*) FILTER (changed) AS n_changed, count(*) FILTER (NOT changed) AS n_unchanged, count(*) FILTER (previous_hash IS NULL) AS n_without_previous FROM flag",
-    "crawl_upsert_dedupe": _TWO + "SELECT heading, subheading, title, url, content_type, content_hash, role_name, min(last_update) AS last_update FROM ranked WHERE rnk <= 2 GROUP BY ALL",
+    "crawl_upsert_dedupe": _TWO + "SELECT heading, subheading, title, url, content_type, content_hash, role_name, coalesce(min(last_update) FILTER (rnk = 2), min(last_update) FILTER (rnk = 1)) AS last_update FROM ranked WHERE rnk <= 2 GROUP BY ALL",
+    "run_counters": _TWO
+    + """, new AS (SELECT DISTINCT url, content_type, content_hash FROM ranked WHERE rnk = 1),
+old AS (SELECT url, content_hash AS previous_hash FROM ranked WHERE rnk = 2 QUALIFY row_number() OVER (PARTITION BY url ORDER BY last_update DESC, content_hash DESC NULLS LAST) = 1),
+f AS (SELECT new.*, NOT coalesce(content_hash = previous_hash, false) AS changed, coalesce(contains(content_type, 'pdf'), false) AS pdf FROM new LEFT JOIN old USING (url))
+SELECT count(*) FILTER (changed OR pdf) AS n_processed, count(*) FILTER (NOT changed AND NOT pdf) AS n_skipped, count(*) FILTER (pdf) AS n_pdf,
+  count(*) FILTER (content_hash IS NULL) AS n_failed, count(*) FILTER (changed AND content_hash IS NOT NULL) AS n_made FROM f""",
+    "outputs_carried": _FLAG
+    + """, u AS (SELECT url, max(changed) AS changed FROM flag GROUP BY url)
+SELECT url, 'made' AS origin FROM u WHERE changed
+UNION ALL SELECT url, 'kept' FROM u WHERE NOT changed AND url IN (SELECT url FROM ranked WHERE rnk = 2)""",
+    "links_sorted": "SELECT CAST(row_number() OVER (ORDER BY url) AS INTEGER) AS place, url FROM (SELECT DISTINCT url FROM all_links WHERE url IS NOT NULL) ORDER BY url LIMIT 50",
+    "urls_by_role": "SELECT role_name, string_agg(url, chr(10) ORDER BY url) AS urls, count(*) AS n FROM (SELECT DISTINCT role_name, url FROM all_links WHERE url IS NOT NULL) GROUP BY role_name",
     "failed_fetch": "SELECT snapshot_no, url, filepath FROM output_data WHERE content_hash IS NULL",
     "content_routing": """SELECT snapshot_no, CASE WHEN contains(url, 'kb.larkfield.example') THEN 'special' WHEN contains(content_type, 'html') THEN 'html' WHEN contains(content_type, 'pdf') THEN 'pdf' ELSE 'others' END AS route,
 CASE WHEN contains(content_type, '/') THEN split_part(split_part(content_type, '/', 2), ';', 1) END AS label, count(*) AS n FROM output_data GROUP BY ALL""",

@@ -11,37 +11,37 @@ from corpusmill.operators import logs as G
 from corpusmill.tables import table
 
 
-def _log(spark: SparkSession, d: str) -> DataFrame:
-    return G.once_each(table(spark, d, "pipeline_log"))
+def _log(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return G.once_each(table(spark, d, "pipeline_log", "log_id", "received_at", *columns))
 
 
 def log_once_each(spark: SparkSession, d: str) -> DataFrame:
-    return _log(spark, d).select("log_id", "received_at", "stage", "status")
+    return _log(spark, d, "stage", "status").select("log_id", "received_at", "stage", "status")
 
 
 def log_status_counts(spark: SparkSession, d: str) -> DataFrame:
-    return G.status_counts(_log(spark, d))
+    return G.status_counts(_log(spark, d, "stage", "status"))
 
 
 def log_stage_totals(spark: SparkSession, d: str) -> DataFrame:
-    return G.status_counts(_log(spark, d)).groupBy("stage_group").agg(F.sum("n").alias("n"))
+    return G.status_counts(_log(spark, d, "stage", "status")).groupBy("stage_group").agg(F.sum("n").alias("n"))
 
 
 def log_summary(spark: SparkSession, d: str) -> DataFrame:
-    return G.run_summary(_log(spark, d), table(spark, d, "all_links", "url"))
+    return G.run_summary(_log(spark, d, "stage", "status", "url", "filepath"), table(spark, d, "all_links", "url"))
 
 
 def http_errors(spark: SparkSession, d: str) -> DataFrame:
-    log = _log(spark, d).filter(F.col("status").isin("FAILED_HTTP_ERROR", "FAILED_REQUEST_ERROR"))
+    log = _log(spark, d, "status", "url", "filepath", "reason").filter(F.col("status").isin("FAILED_HTTP_ERROR", "FAILED_REQUEST_ERROR"))
     return log.select("log_id", "url", F.coalesce("filepath", F.lit("N/A")).alias("filepath"), "reason")
 
 
 def log_direct_loads(spark: SparkSession, d: str) -> DataFrame:
-    return _log(spark, d).filter("status = 'DIRECT_LOAD'").select("log_id", "filepath", "url", "reason")
+    return _log(spark, d, "status", "filepath", "url", "reason").filter("status = 'DIRECT_LOAD'").select("log_id", "filepath", "url", "reason")
 
 
 def log_daily(spark: SparkSession, d: str) -> DataFrame:
-    return _log(spark, d).groupBy(F.to_date("logged_at").alias("day"), "stage").agg(F.count("*").alias("n"), F.count_distinct("url").alias("n_urls"))
+    return _log(spark, d, "logged_at", "stage", "url").groupBy(F.to_date("logged_at").alias("day"), "stage").agg(F.count("*").alias("n"), F.count_distinct("url").alias("n_urls"))
 
 
 def log_late(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +57,7 @@ def log_corrupt_lines(spark: SparkSession, d: str) -> DataFrame:
 
 def document_state(spark: SparkSession, d: str) -> DataFrame:
     """The last status of each address' crawl; on equal times the later entry."""
-    log = _log(spark, d).filter("stage = 'crawl' and url is not null")
+    log = _log(spark, d, "stage", "status", "url", "logged_at").filter("stage = 'crawl' and url is not null")
     return log.groupBy("url").agg(F.max_by("status", F.struct("logged_at", "log_id")).alias("last_status"), F.count("*").alias("n_entries"))
 
 

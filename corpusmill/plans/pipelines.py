@@ -13,22 +13,26 @@ from corpusmill.functions.html import EMPTY, convert_pages
 from corpusmill.operators import changes, chunks, feedback, links, retrieval, sweep
 from corpusmill.operators.vectors import hashed_embedding
 from corpusmill.sources.services import embed_texts
+from corpusmill.storage import written
 
 
-def crawl_and_parse(all_links: DataFrame, current: DataFrame, previous: DataFrame, pages: DataFrame, skip: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+def crawl_and_parse(all_links: DataFrame, current: DataFrame, previous: DataFrame, pages: DataFrame, skip: list[str] | None = None, earlier: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(documents, failures): of the merged links the pages that changed since the last result, as clean Markdown with front matter.
 
-    current, previous: url, content_type, content_hash, last_update; pages: url, html. Failures: fetches without a hash,
-    and pages without content, with a reason.
+    current, previous: url, content_type, content_hash, last_update; pages: url, html, and narrow (what a page is narrowed
+    to) if there is such a column. earlier: the last run's documents, of which the unchanged ones that are still listed are
+    carried over. Failures: fetches without a hash, and pages without content, with a reason.
     """
     merged = links.exclude_addresses(links.merge_links(links.index_rows(all_links)), skip or [], [])
     flagged = changes.with_change_flag(current.filter("content_type = 'html'"), previous)
     wanted = flagged.filter("changed").select("url").distinct().join(pages, "url")
-    made = convert_pages(wanted, "url", "html").withColumnRenamed("title", "title_tag")
+    made = convert_pages(wanted, "url", "html", "narrow" if "narrow" in pages.columns else None).withColumnRenamed("title", "title_tag")
     good = made.filter(F.col("markdown") != EMPTY).withColumn("body", T.clean_markdown(F.col("markdown"))).join(merged, "url")
     first = lambda c: F.coalesce(F.nullif(F.get(c, F.lit(0)), F.lit(T.MISSING)), F.lit(""))
     front = {"heading": first("section"), "subheading": first("subsection"), "title": F.array_join("title", " | "), "role": F.col("role_name"), "url": F.col("url"), "title_tag": F.col("title_tag")}
     documents = good.select("url", F.concat(F.col("filename"), F.lit(".md")).alias("filepath"), M.emit_front_matter(front, F.col("body")).alias("text"))
+    if earlier is not None:
+        documents = changes.carry_over(documents, earlier, flagged.filter("not changed"))
     failures = changes.failed_fetches(current).select("url", F.lit("no content hash").alias("reason"))
     return documents, failures.unionByName(made.filter(F.col("markdown") == EMPTY).select("url", F.lit("no content").alias("reason")))
 
@@ -54,10 +58,12 @@ def extract_questions(traces: DataFrame, scores: DataFrame, days: int) -> tuple[
 
 def evaluate(asked: DataFrame, index: DataFrame, space: dict[str, list], trials: int | None = None, beta: float = 5.0) -> DataFrame:
     """Trials over a grid (or `trials` random settings) of k, threshold and n; the value is the mean F. asked: query_id, embedding, quote."""
-    settings = sweep.grid(space) if trials is None else sweep.sample(space, trials)
+    settings = list(sweep.grid(space) if trials is None else sweep.sample(space, trials))
+    # one search for all trials: smaller k and higher thresholds cut its hits
+    hits = written(retrieval.search_hits(asked, index, max((p["k"] for p in settings), default=1), min((p["threshold"] for p in settings), default=0.0)), "hits")
 
     def mean(p: dict) -> float:
-        texts = retrieval.retrieved_texts(asked, index, p["k"], p["threshold"])
+        texts = retrieval.texts_of(asked, hits, p["k"], p["threshold"])
         return retrieval.score_queries(texts, asked, p["n"], beta).agg(F.coalesce(F.avg("f"), F.lit(0.0))).collect()[0][0]
 
     return sweep.search(asked.sparkSession, settings, mean)

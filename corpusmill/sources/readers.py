@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.frames import frame
+from corpusmill.storage import written
 
 INDEX_COLUMNS = ["Section", "Subsection", "Title", "URL", "Role"]
 LOG_SCHEMA = "timestamp timestamp, stage string, status string, url string, filepath string, reason string, message string"
@@ -45,11 +48,17 @@ def scrub_json(c):
 
 
 def read_documents(spark: SparkSession, *folders: str) -> DataFrame:
-    """(filepath, text) of whole text files; unreadable ones are skipped."""
+    """(filepath, text) of whole text files; unreadable ones are skipped, see `unreadable_documents`."""
     found = spark.read.option("ignoreCorruptFiles", "true").text(list(folders), wholetext=True, recursiveFileLookup=True)
     return found.select(F.col("_metadata.file_path").alias("filepath"), F.col("value").alias("text"))
 
 
+def unreadable_documents(spark: SparkSession, documents: DataFrame, *folders: str) -> DataFrame:
+    """(filepath) of the non-empty files below the folders that `read_documents` gave no row for."""
+    there = reduce(DataFrame.unionByName, [list_files(spark, f) for f in folders]).filter("length > 0").select(F.col("path").alias("filepath"))
+    return there.join(documents.select("filepath"), "filepath", "left_anti")
+
+
 def list_files(spark: SparkSession, folder: str, ignored: str | None = None) -> DataFrame:
     """(path, length, modificationTime) below a folder, without paths that contain `ignored`; contents are not read."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path", "length", "modificationTime")
@@ -60,18 +69,21 @@ def read_state(spark: SparkSession, path: str) -> DataFrame:
     """The one-row state (last_crawl_detail, last_folder_crawl); both `Never` where there is none yet."""
     schema = "last_crawl_detail string, last_folder_crawl string"
     try:
-        found = spark.read.schema(schema).option("multiLine", "true").json(path)
-        if not found.isEmpty():
+        found = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+    else:
+        if not found.isEmpty():  # an unreadable state is an error: it must not start the crawl anew
             return found
-    except Exception:  # no such path
-        pass
     return spark.createDataFrame([("Never", "Never")], schema)
 
 
 def read_paged(spark: SparkSession, fetch: Callable[[int], dict | None], keep: tuple[str, ...] = ("id", "title"), most_pages: int = 100_000) -> DataFrame:
     """Items of a paged service: pages from 1 until one is missing or says `morerecords` is false; items need all `keep` fields.
 
-    The pages are asked for one after the other, as each tells whether there is another; by one task, not the driver.
+    The pages are asked for one after the other, as each tells whether there is another; by one task, not the driver. A
+    service that still has pages after `most_pages` is an error, so nothing is left out unseen.
     """
 
     def pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -86,6 +98,7 @@ def read_paged(spark: SparkSession, fetch: Callable[[int], dict | None], keep: t
                 yield frame([[str(x) for x in r] for r in rows], list(keep))
                 if not page.get("morerecords"):
                     return
+            raise RuntimeError(f"the service has more than {most_pages} pages")
 
     return spark.range(1).coalesce(1).mapInPandas(pages, ", ".join(f"{k} string" for k in keep))
 
@@ -108,3 +121,24 @@ def fetch_with_retry(fetch: Callable[[str], object], url: str, tries: int = 3, f
             if wait:
                 wait(n)
     return None, "FAILED_REQUEST_ERROR"
+
+
+def fetch_pages(links: DataFrame, fetch: Callable[[str], object], url_col: str = "url", **how) -> tuple[DataFrame, DataFrame]:
+    """(pages (url, content), log rows (stage, status, url, reason)) of a table of addresses, written once, so each is asked for once.
+
+    Each distinct address is fetched by `fetch_with_retry(fetch, url, **how)`; addresses are spread evenly over the tasks.
+    Null addresses give no rows; what is no text is taken as its text form.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for url in b["url"]:
+                got, status = fetch_with_retry(fetch, url, **how)
+                rows.append((url, None if got is None else str(got), status))
+            yield frame(rows, ["url", "content", "status"])
+
+    wanted = links.select(F.col(url_col).alias("url")).filter("url is not null").distinct()
+    done = written(wanted.mapInPandas(run, "url string, content string, status string"), "fetched")
+    log = done.select(F.lit("crawl").alias("stage"), "status", "url", F.when(F.col("content").isNull(), F.lit("not fetched")).alias("reason"))
+    return done.filter("content is not null").select("url", "content"), log

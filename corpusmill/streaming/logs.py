@@ -24,7 +24,12 @@ def status_windows(stream: DataFrame, stamp: str = "logged_at", width: str = "1
 
 
 def run_to_table(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
-    """Everything that is there now, written batch by batch to parquet, exactly once by the checkpoint; then the query ends."""
+    """Everything that is there now, written batch by batch to parquet, exactly once by the checkpoint; then the query ends.
+
+    mode: `append`, or `complete`, whose last batch is the whole table. An `update` batch holds changed rows only.
+    """
+    if mode not in ("append", "complete"):
+        raise ValueError("a table of files takes appended or complete batches")
 
     def write(batch: DataFrame, number: int) -> None:
         batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{path}/batch={number}") if mode == "append" else batch.write.mode("overwrite").parquet(path)

@@ -19,6 +19,11 @@ def test_crawl_and_parse(spark, rows):
     got = docs.collect()
     assert [d.url for d in got] == ["u1"] and "heading: Costs" in got[0].text and "subheading: ''" in got[0].text and got[0].text.endswith("---\nHello x")
     assert rows(failures) == [("u3.sharepoint.com/z", "no content"), ("u4", "no content hash")]
+    # the next run: u1 is unchanged and stays, u2 changed and is made anew, u9 is no longer listed and goes
+    later = spark.createDataFrame([("u1", "html", "a", T0), ("u2", "html", "c", T0)], fields)
+    earlier = docs.unionByName(spark.createDataFrame([("u2", "b.md", "old"), ("u9", "z.md", "gone")], docs.schema))
+    second = {d.url: d.text for d in P.crawl_and_parse(listed, later, now, pages, ["sharepoint.com"], earlier)[0].collect()}
+    assert set(second) == {"u1", "u2"} and second["u1"] == got[0].text and second["u2"].endswith("same")
     todo, skipped = links.fetch_plan(listed.select("url", F.lit("f").alias("filename")), listed.select(F.lit("g").alias("filename")))
     assert todo.count() == 3 and skipped.count() == 0
 
@@ -69,7 +74,8 @@ def test_services(spark, rows):
 
 def test_budget_and_semantic(spark):
     df = spark.createDataFrame([(1, "a bb ccc dd e"), (2, ""), (3, None)], "doc_id long, text string")
-    assert [r.piece for r in chunks.budget_pieces(df, "doc_id", "text", 3, len).orderBy("pos").collect()] == ["a bb", "ccc", "dd e"]
+    assert [r.piece for r in chunks.budget_pieces(df, "doc_id", "text", 3, len).orderBy("pos").collect()] == ["a", "bb", "ccc", "dd", "e"]
+    assert [r.piece for r in chunks.budget_pieces(df, "doc_id", "text", 4, len).orderBy("pos").collect()] == ["a bb", "ccc", "dd e"]
     nodes = spark.createDataFrame([(1, i, v) for i, v in enumerate([[1.0, 0.0], [0.9, 0.1], [0.0, 1.0], [0.1, 0.9]])], "doc_id long, pos int, v array<double>")
     assert [r.group_no for r in chunks.semantic_groups(nodes, "v", 0.6).orderBy("pos").collect()] == [1, 1, 2, 2]
 

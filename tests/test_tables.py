@@ -94,6 +94,18 @@ def test_sources_and_sinks(spark, tmp_path, rows):
     assert (tmp_path / "e.csv").read_text().splitlines() == ["Failed", "a", "q"]
     sinks.write_jsonl(b, str(tmp_path / "j"))
     assert [json.loads(x.read_text()) for x in (tmp_path / "j").glob("part-*") if x.stat().st_size] == [{"a": "q"}]
+    (tmp_path / "state.json").write_text("{broken")
+    with pytest.raises(Exception):
+        readers.read_state(spark, str(tmp_path / "state.json")).collect()
+    assert readers.unreadable_documents(spark, readers.read_documents(spark, str(tmp_path / "d")), str(tmp_path / "d")).count() == 0
+
+    def fetch(url):
+        if url == "bad":
+            raise PermissionError
+        return url.upper()
+
+    pages, log = readers.fetch_pages(spark.createDataFrame([("a",), ("a",), ("bad",), (None,)], "url string"), fetch)
+    assert rows(pages) == [("a", "A")] and rows(log, "status", "url") == [("FAILED_HTTP_ERROR", "bad"), ("SUCCESS", "a")]
     calls = []
     assert readers.fetch_with_retry(lambda u: calls.append(u) or (_ for _ in ()).throw(TimeoutError()), "u")[1] == "FAILED_REQUEST_ERROR" and len(calls) == 3
 
