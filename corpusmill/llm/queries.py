@@ -124,13 +124,15 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_limits(spark: SparkSession, d: str) -> DataFrame:
-    """Per target: its documents, how many are drawn more often than allowed, and whether its share is reached to a quarter of a percent, a document at the smallest scale."""
+    """Per target: its documents, how many are drawn more often than allowed, and whether its share is reached to a thousandth, or to one document where that is more."""
     drawn, shares = _mixture(spark, d)
     can = (F.col("tokens") > 0) & (F.col("max_repeats") > 0) & (F.col("target_share") > 0)
     wanted = shares.agg(F.sum(F.when(can, F.col("target_share"))).alias("all"))
     over = drawn.join(F.broadcast(shares.select("source", "max_repeats")), "source", "left").groupBy("source").agg(F.count_if(F.coalesce(F.col("repeats") > F.col("max_repeats"), F.lit(True))).alias("over"))
     each = shares.crossJoin(F.broadcast(wanted)).join(F.broadcast(over), "source", "left")  # one row
-    near = F.abs(F.col("reached_share") - F.when(can, F.col("target_share") / F.col("all")).otherwise(0.0)) <= 0.0025
+    document = drawn.agg(F.try_divide(F.max("tokens").cast("double"), F.sum(F.col("tokens") * F.col("repeats"))).alias("document"))
+    each = each.crossJoin(F.broadcast(document))  # one row
+    near = F.abs(F.col("reached_share") - F.when(can, F.col("target_share") / F.col("all")).otherwise(0.0)) <= F.greatest(F.lit(0.001), F.coalesce("document", F.lit(0.0)))
     return each.select("source", "target_share", "max_repeats", F.col("n_docs").cast("long").alias("n_docs"), F.coalesce("over", F.lit(0)).alias("n_over_limit"), near.alias("reached"))
 
 
